@@ -10,7 +10,7 @@ from wardline.operators.joins import keyed_join
 
 
 def best_row(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], columns: Sequence[str]
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], columns: Sequence[str | Column]
 ) -> DataFrame:
     """The row smallest in ``order``, ties settled by the chosen columns themselves.
 
@@ -19,7 +19,7 @@ def best_row(
     descending keys negated.
     """
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    row = F.struct(key.alias("k"), F.struct(*[F.col(c) for c in columns]).alias("r"))
+    row = F.struct(key.alias("k"), F.struct(*columns).alias("r"))
     return df.groupBy(*by).agg(F.min(row).alias("_b")).select(*by, "_b.r.*")
 
 
