@@ -34,18 +34,6 @@ class Concept:
     constant: float | None = None
 
 
-CONCEPT_FIELDS = [
-    T.StructField("_variable", T.StringType()),
-    T.StructField("_low", T.DoubleType()),
-    T.StructField("_high", T.DoubleType()),
-    T.StructField("_closed", T.BooleanType()),
-    T.StructField("_scale", T.DoubleType()),
-    T.StructField("_offset", T.DoubleType()),
-    T.StructField("_text", T.StringType()),
-    T.StructField("_constant", T.DoubleType()),
-]
-
-
 def map_concepts(
     df: DataFrame,
     concepts: Sequence[Concept],
@@ -57,46 +45,62 @@ def map_concepts(
 ) -> DataFrame:
     """Codes to ``(variable, value)``; rows outside a concept's limits are dropped.
 
-    One broadcast join over the concept table replaces a pair of CASE chains. The code
-    list is pushed to the scan as an IN filter before the join.
+    Broadcast joins over the concept table replace a pair of CASE chains: numeric concepts
+    by code, charted ones by code and text, each matching a row at most once. The code list
+    also filters the scan.
     """
-    code_type = df.schema[code].dataType
-    table = df.sparkSession.createDataFrame(
+    spark, code_type = df.sparkSession, df.schema[code].dataType
+    numeric = [c for c in concepts if c.text is None]
+    charted = [c for c in concepts if c.text is not None]
+    if len({c.code for c in numeric}) < len(numeric):
+        raise ValueError("a code may stand for one numeric concept only")
+    number = lambda x: None if x is None else float(x)
+    table = spark.createDataFrame(
         [
-            (
-                c.code,
-                c.variable,
-                None if c.low is None else float(c.low),
-                None if c.high is None else float(c.high),
-                bool(c.high_closed),
-                float(c.scale),
-                float(c.offset),
-                c.text,
-                None if c.constant is None else float(c.constant),
-            )
-            for c in concepts
+            (c.code, c.variable, number(c.low), number(c.high), c.high_closed, float(c.scale), float(c.offset))
+            for c in numeric
         ],
-        T.StructType([T.StructField(code, code_type), *CONCEPT_FIELDS]),
+        T.StructType(
+            [
+                T.StructField(code, code_type),
+                T.StructField("_variable", T.StringType()),
+                T.StructField("_low", T.DoubleType()),
+                T.StructField("_high", T.DoubleType()),
+                T.StructField("_closed", T.BooleanType()),
+                T.StructField("_scale", T.DoubleType()),
+                T.StructField("_offset", T.DoubleType()),
+            ]
+        ),
     )
     raw = F.col(value).cast("double")
     in_range = (F.col("_low").isNull() | (raw > F.col("_low"))) & (
         F.col("_high").isNull() | (raw < F.col("_high")) | (F.col("_closed") & (raw == F.col("_high")))
     )
-    numeric = F.when(in_range, raw * F.col("_scale") + F.col("_offset"))
-    charted = F.col("_text").isNotNull()
-    if text is not None:
-        mapped = F.when(charted & (F.col(text) == F.col("_text")), F.col("_constant")).when(
-            ~charted, numeric
+    name = F.col("_variable")
+    mapped = F.when(in_range, raw * F.col("_scale") + F.col("_offset"))
+    out = df.filter(F.col(code).isin(sorted({c.code for c in concepts})))
+    out = out.join(F.broadcast(table), code, "left" if charted else "inner")
+    if charted:
+        if text is None:
+            raise ValueError("charted concepts need the text column")
+        signs = spark.createDataFrame(
+            [(c.code, c.text, c.variable, number(c.constant)) for c in charted],
+            T.StructType(
+                [
+                    T.StructField(code, code_type),
+                    T.StructField(text, T.StringType()),
+                    T.StructField("_sign_of", T.StringType()),
+                    T.StructField("_sign", T.DoubleType()),
+                ]
+            ),
         )
-    else:
-        mapped = F.when(~charted, numeric)
+        out = out.join(F.broadcast(signs), [code, text], "left")
+        name, mapped = F.coalesce("_sign_of", name), F.coalesce("_sign", mapped)
     kept = [c for c in df.columns if c not in (variable_out, value_out)]
-    wanted = df.filter(F.col(code).isin(sorted({c.code for c in concepts})))
     return (
-        wanted.join(F.broadcast(table), code)
-        .withColumn("_mapped", mapped)
+        out.withColumn("_mapped", mapped)
         .filter(F.col("_mapped").isNotNull())
-        .select(*kept, F.col("_variable").alias(variable_out), F.col("_mapped").alias(value_out))
+        .select(*kept, name.alias(variable_out), F.col("_mapped").alias(value_out))
     )
 
 

@@ -56,24 +56,30 @@ class Last:
     strict: bool = False
     time_out: str | None = None
 
+    @property
+    def _timed(self):
+        return self.within is not None or self.time_out is not None
+
     def summary(self, time, p):
         at = F.when(_col(self.value).isNotNull(), F.col(time))
-        return [F.max(at).alias(p + "t"), F.max_by(_col(self.value), at).alias(p + "v")]
+        out = [F.max_by(_col(self.value), at).alias(p + "v")]
+        return out + ([F.max(at).alias(p + "t")] if self._timed else [])
 
     def carried(self, p, f):
-        return [F.last(p + x, True).over(f.before).alias(p + x) for x in "tv"]
+        parts = "vt" if self._timed else "v"
+        return [F.last(p + x, True).over(f.before).alias(p + x) for x in parts]
 
     def local(self, time, p, f):
         frame = f.up.rowsBetween(_START, -1 if self.strict else 0)
         at = F.when(_col(self.value).isNotNull(), F.col(time))
-        return [
-            F.last(at, True).over(frame).alias(p + "lt"),
-            F.last(_col(self.value), True).over(frame).alias(p + "lv"),
-        ]
+        out = [F.last(_col(self.value), True).over(frame).alias(p + "lv")]
+        return out + ([F.last(at, True).over(frame).alias(p + "lt")] if self._timed else [])
 
     def result(self, time, p):
-        at = F.coalesce(F.col(p + "lt"), F.col(p + "t"))
         value = F.coalesce(F.col(p + "lv"), F.col(p + "v"))
+        if not self._timed:
+            return [value.alias(self.out)]
+        at = F.coalesce(F.col(p + "lt"), F.col(p + "t"))
         if self.within is not None:
             near = at >= F.col(time) - F.lit(self.within)
             value, at = F.when(near, value), F.when(near, at)
@@ -91,24 +97,30 @@ class Next:
     strict: bool = False
     time_out: str | None = None
 
+    @property
+    def _timed(self):
+        return self.within is not None or self.time_out is not None
+
     def summary(self, time, p):
         at = F.when(_col(self.value).isNotNull(), F.col(time))
-        return [F.min(at).alias(p + "t"), F.min_by(_col(self.value), at).alias(p + "v")]
+        out = [F.min_by(_col(self.value), at).alias(p + "v")]
+        return out + ([F.min(at).alias(p + "t")] if self._timed else [])
 
     def carried(self, p, f):
-        return [F.last(p + x, True).over(f.after).alias(p + x) for x in "tv"]
+        parts = "vt" if self._timed else "v"
+        return [F.last(p + x, True).over(f.after).alias(p + x) for x in parts]
 
     def local(self, time, p, f):
         frame = f.down.rowsBetween(_START, -1 if self.strict else 0)
         at = F.when(_col(self.value).isNotNull(), F.col(time))
-        return [
-            F.last(at, True).over(frame).alias(p + "lt"),
-            F.last(_col(self.value), True).over(frame).alias(p + "lv"),
-        ]
+        out = [F.last(_col(self.value), True).over(frame).alias(p + "lv")]
+        return out + ([F.last(at, True).over(frame).alias(p + "lt")] if self._timed else [])
 
     def result(self, time, p):
-        at = F.coalesce(F.col(p + "lt"), F.col(p + "t"))
         value = F.coalesce(F.col(p + "lv"), F.col(p + "v"))
+        if not self._timed:
+            return [value.alias(self.out)]
+        at = F.coalesce(F.col(p + "lt"), F.col(p + "t"))
         if self.within is not None:
             near = at <= F.col(time) + F.lit(self.within)
             value, at = F.when(near, value), F.when(near, at)

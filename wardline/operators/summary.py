@@ -71,6 +71,15 @@ def missingness(grid: DataFrame, variables: Sequence[str]) -> DataFrame:
     )
 
 
+def missing_cells(cells: DataFrame, variable="variable", value="value") -> DataFrame:
+    """The same table from long cells in which missing ones are rows with a NULL value."""
+    return cells.groupBy(variable).agg(
+        F.count_if(F.col(value).isNull()).alias("missing"),
+        F.avg(F.col(value).isNull().cast("int")).alias("missing_share"),
+        F.count(value).alias("present"),
+    )
+
+
 def gap_between_observations(
     long: DataFrame, entity: str, variables: Sequence[str], time: str = "time"
 ) -> DataFrame:
