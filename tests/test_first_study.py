@@ -116,10 +116,11 @@ def test_impute_and_outcomes(built):
     size = len(study.MODEL_ORDER)
     eye = [[float(i == j) for j in range(size)] for i in range(size)]
     gp = GaussianProcess(0.5, [1.0] * size, [0.3] * 9, [0.0] * 5, eye)
-    imputed = study.impute(built["cells"], built["mean_sd"], gp, draws=4)
-    per_cell = imputed.groupBy("stay_id", "time", "variable").agg(F.count("*").alias("n"))
+    observed, drawn = study.impute(built["cells"], built["mean_sd"], gp, draws=4)
+    per_cell = drawn.groupBy("stay_id", "time", "variable").agg(F.count("*").alias("n"))
     assert per_cell.filter("n <> 4").count() == 0
-    out = study.outcomes(imputed, built["baseline"])
+    assert per_cell.count() == built["cells"].filter("value IS NULL").count()
+    out = study.outcomes(observed, drawn, built["baseline"], draws=4)
     assert out.count() == 2 * 4 * 17
     met = {(r.threshold, r.met) for r in out.filter("stay_id = 1 AND threshold = 'SF120'").collect()}
     assert met == {("SF120", 1)}

@@ -85,8 +85,8 @@ def test_impute_and_outcomes(built):
     size = len(study.MODEL_ORDER)
     eye = [[float(i == j) for j in range(size)] for i in range(size)]
     gp = GaussianProcess(0.5, [1.0] * size, [0.3] * 8, [0.0] * 3, eye)
-    imputed = study.impute(built["cells"], built["mean_sd"], gp, draws=3)
-    out = study.outcomes(imputed, built["entities"])
+    observed, drawn = study.impute(built["cells"], built["mean_sd"], gp, draws=3)
+    out = study.outcomes(observed, drawn, built["entities"], draws=3)
     assert out.count() == 2 * 3 * 16
     assert out.filter("threshold = 'DeMontBauer'").count() == 0
     one = out.filter("admissionid = 1 AND threshold = 'Pressor'").collect()

@@ -31,9 +31,10 @@ def keyed_join(
     A right side whose planned size is within ``limit`` is broadcast, which no key can
     skew. Beyond it, keys of ``big`` with over ``rows_per_task`` rows are split: each gets
     ``ceil(rows / rows_per_task)`` salts, its rows are spread over them by a hash of
-    ``spread`` (columns that tell rows of one key apart; default all), and its ``small`` rows
-    are repeated once per salt. The list of such keys has fewer than
-    ``rows(big) / rows_per_task`` entries, which is what allows broadcasting it.
+    ``spread`` (columns that tell rows of one key apart; default all) and of the partition a
+    row comes from, so exact copies spread too and a repeated task salts its rows alike. The
+    ``small`` rows of such a key are repeated once per salt. The list of these keys has fewer
+    than ``rows(big) / rows_per_task`` entries, which is what allows broadcasting it.
 
     ``how``: inner, left, left_semi or left_anti, all from the side of ``big``.
     """
@@ -48,7 +49,8 @@ def keyed_join(
         .filter(F.col("_n") > rows_per_task)
         .select(*on, F.ceil(F.col("_n") / rows_per_task).cast("long").alias("_salts"))
     )
-    mixed = F.xxhash64(*(spread or [c for c in big.columns if c not in on] or on))
+    apart = spread or [c for c in big.columns if c not in on] or on
+    mixed = F.xxhash64(*apart, F.spark_partition_id())
     one = F.array(F.lit(0).cast("long"))
     salted = big.join(hot, on, "left").withColumn(
         "_salt", F.when(F.col("_salts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(mixed, F.col("_salts")))
@@ -81,9 +83,28 @@ def exclude_listed(df: DataFrame, on: str, ids: Sequence) -> DataFrame:
     return df.filter(F.coalesce(~F.col(on).isin(list(ids)), F.lit(True))) if ids else df
 
 
-def join_where(left: DataFrame, right: DataFrame, on, condition: Column, how: str = "left") -> DataFrame:
-    """Join with a constant predicate on the right side: filter it first, then join."""
-    return left.join(right.filter(condition), on, how)
+def join_where(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str] | str,
+    condition: Column,
+    spread: Sequence[str] | None = None,
+    limit: int = BROADCAST_LIMIT,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Left join with a constant predicate on the right side: filter it first, then join.
+
+    Where the filtered right side is too large to broadcast, its hot keys are the danger. It
+    then leads an inner ``keyed_join``, and left rows without a partner are added back.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    wanted = right.filter(condition)
+    if planned_bytes(wanted) <= limit:
+        return left.join(F.broadcast(wanted), on, "left")
+    columns = [*left.columns, *[c for c in wanted.columns if c not in on]]
+    matched = keyed_join(wanted, left, on, "inner", spread, limit, rows_per_task).select(*columns)
+    single = exclude(left, wanted, on, limit=limit, rows_per_task=rows_per_task)
+    return matched.unionByName(single, allowMissingColumns=True)
 
 
 def _timeline(left, right, by, left_time, right_time, columns):

@@ -16,7 +16,12 @@ from wardline.functions.scalars import constant_for_null, flag, truthy
 from wardline.functions.timeaxis import between, minute_number, minutes_between
 from wardline.operators import summary
 from wardline.operators.blocks import EverBy, Last, Whole, along_time
-from wardline.operators.impute import GaussianProcess, completed_series, gaussian_imputations
+from wardline.operators.impute import (
+    GaussianProcess,
+    completed_grid,
+    gaussian_imputations,
+    on_raw_scale,
+)
 from wardline.operators.joins import asof_join, exclude_listed, keyed_join, restrict
 from wardline.operators.longtable import (
     censor_at_end,
@@ -32,7 +37,7 @@ from wardline.operators.longtable import (
 )
 from wardline.operators.outcomes import end_event, evaluate_rules
 from wardline.operators.pick import best_row, code_set_flags, latest_at_index
-from wardline.operators.reshape import carried_grid, to_grid
+from wardline.operators.reshape import carried_grid
 from wardline.operators.sample import dense_index, sample_entities
 from wardline.operators.spine import align, prefer_mean, product_mean, sum_and_count
 from wardline.operators.state import cumulative_states, interval_state, on_off_events
@@ -40,7 +45,6 @@ from wardline.operators.transform import (
     carried_dataset,
     mean_sd,
     model_extract,
-    restored,
     standardised,
     transformed,
 )
@@ -565,19 +569,18 @@ def hyperparameter_sample(clean: DataFrame) -> DataFrame:
     )
 
 
-def impute(cells: DataFrame, scale: DataFrame, gp: GaussianProcess, draws: int = 100, seed: int = fixed.SAMPLE_SEED):
-    """Completed series from time 0: ``(stay_id, iter, time in hours, variable, value)``."""
+def impute(
+    cells: DataFrame, scale: DataFrame, gp: GaussianProcess, draws: int = 100, seed: int = fixed.SAMPLE_SEED
+) -> tuple[DataFrame, DataFrame]:
+    """Observed cells and the draws for the empty ones, from time 0, in hours and raw units."""
     drawn = gaussian_imputations(cells, "stay_id", "time", gp, draws, seed)
-    series = completed_series(cells, drawn, "stay_id", "time", draws, 24).filter("time >= 0")
-    names = F.array(*[F.lit(v) for v in MODEL_ORDER])
-    named = series.withColumn("variable", F.element_at(names, F.col("var"))).drop("var")
-    return restored(named, scale, fixed.FIRST_TRANSFORMS)
+    return on_raw_scale(cells, drawn, scale, fixed.FIRST_TRANSFORMS, "time", MODEL_ORDER, 24)
 
 
-def outcomes(imputed: DataFrame, clean: DataFrame) -> DataFrame:
-    """Every rule on every completed series."""
+def outcomes(observed: DataFrame, drawn: DataFrame, clean: DataFrame, draws: int = 100) -> DataFrame:
+    """Every rule on every completed series. No rule reads the blood pressure."""
     used = [v for v in MODEL_ORDER if v != "sbp"]
-    grid = to_grid(imputed.filter("variable <> 'sbp'"), ["stay_id", "iter", "time"], used)
+    grid = completed_grid(observed, drawn, "stay_id", "time", used, draws)
     flags = clean.select(
         "stay_id", F.col("imv_ever").alias("imv"), F.col("death_obs").alias("death")
     )

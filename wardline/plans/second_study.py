@@ -16,7 +16,12 @@ from wardline.functions.scalars import flag, truthy
 from wardline.functions.timeaxis import between, minutes_from_ms
 from wardline.operators import summary
 from wardline.operators.blocks import Last, along_time
-from wardline.operators.impute import GaussianProcess, completed_series, gaussian_imputations
+from wardline.operators.impute import (
+    GaussianProcess,
+    completed_grid,
+    gaussian_imputations,
+    on_raw_scale,
+)
 from wardline.operators.joins import exclude, exclude_listed, join_where, keyed_join, restrict
 from wardline.operators.longtable import (
     censor_at_first,
@@ -31,13 +36,12 @@ from wardline.operators.longtable import (
 )
 from wardline.operators.outcomes import evaluate_rules_without_effort
 from wardline.operators.pick import best_row, first_of_subject, latest_at_index
-from wardline.operators.reshape import carried_grid, from_grid, to_grid
+from wardline.operators.reshape import carried_grid, from_grid, guarantee_columns
 from wardline.operators.state import signed_delta_state
 from wardline.operators.transform import (
     carried_dataset,
     mean_sd,
     model_extract,
-    restored,
     standardised,
     transformed,
 )
@@ -370,13 +374,12 @@ def carried_forward(cells: DataFrame, scale: DataFrame) -> DataFrame:
     )
 
 
-def impute(cells: DataFrame, scale: DataFrame, gp: GaussianProcess, draws: int = 100, seed: int = fixed.SAMPLE_SEED):
-    """Completed series from time 0: ``(admissionid, iter, time in hours, variable, value)``."""
+def impute(
+    cells: DataFrame, scale: DataFrame, gp: GaussianProcess, draws: int = 100, seed: int = fixed.SAMPLE_SEED
+) -> tuple[DataFrame, DataFrame]:
+    """Observed cells and the draws for the empty ones, from time 0, in hours and raw units."""
     drawn = gaussian_imputations(cells, ENTITY, "time", gp, draws, seed)
-    series = completed_series(cells, drawn, ENTITY, "time", draws, 24).filter("time >= 0")
-    names = F.array(*[F.lit(v) for v in MODEL_ORDER])
-    named = series.withColumn("variable", F.element_at(names, F.col("var"))).drop("var")
-    return restored(named, scale, fixed.SECOND_TRANSFORMS)
+    return on_raw_scale(cells, drawn, scale, fixed.SECOND_TRANSFORMS, "time", MODEL_ORDER, 24)
 
 
 def entity_table(people: DataFrame, eligible: DataFrame) -> DataFrame:
@@ -386,12 +389,14 @@ def entity_table(people: DataFrame, eligible: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(imputed: DataFrame, entities: DataFrame) -> DataFrame:
+def outcomes(observed: DataFrame, drawn: DataFrame, entities: DataFrame, draws: int = 100) -> DataFrame:
     """Every rule on every completed series; death counts within follow-up, unless intubated.
 
     The work-of-breathing column does not exist here and stays empty.
     """
-    grid = to_grid(imputed, [ENTITY, "iter", "time"], [*MODEL_ORDER, "wob"])
+    grid = guarantee_columns(
+        completed_grid(observed, drawn, ENTITY, "time", MODEL_ORDER, draws), ["wob"]
+    )
     flags = entities.select(
         ENTITY,
         flag(F.col("imv_time").isNotNull()).alias("imv"),
