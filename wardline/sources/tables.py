@@ -45,14 +45,15 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a temporary folder of its own.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
+    if not named and not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="wardline-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    if not named:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
@@ -106,7 +107,7 @@ def read_draws(
 
     Files are CSV with ``#`` comment lines and columns such as ``rho``, ``alpha.2`` and
     ``L_C.1.3``; only the columns of the parameters asked for are read. Chains are given as
-    ``{chain: path}``. ``iter`` is the draw's position in its file, taken from the file order.
+    ``{chain: path}``. ``iter`` tells the draws of a chain apart and grows in file order.
     """
     frames = []
     for chain, path in paths.items():
@@ -125,11 +126,10 @@ def read_draws(
                 )
             )
         frames.append(
-            wide.select(
-                F.lit(chain).alias("chain"),
-                F.monotonically_increasing_id().alias("iter"),
-                F.explode(F.array(*cells)).alias("_d"),
-            ).select("chain", "iter", "_d.*")
+            wide.withColumn("chain", F.lit(chain))
+            .withColumn("iter", F.monotonically_increasing_id())
+            .select("chain", "iter", F.explode(F.array(*cells)).alias("_d"))
+            .select("chain", "iter", "_d.*")
         )
     out = frames[0]
     for f in frames[1:]:
