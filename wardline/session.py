@@ -14,6 +14,7 @@ def local_session(cores: str | int = 8, partitions: int = 8, app: str = "wardlin
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
