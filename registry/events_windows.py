@@ -228,7 +228,7 @@ def eligibility_index(spark, folder):
         & (F.col("minute") < 20160)
     )
     moments = keyed_join(
-        state.filter(eligible), people.filter("c_acctbal >= 0"), "user_id", "inner", ["minute"]
+        state.filter(eligible), people.filter("c_acctbal >= 0"), "user_id", "inner", bounded=True
     )
     index = best_row(
         moments,
@@ -243,7 +243,7 @@ def eligibility_index(spark, folder):
             index.select("user_id", "eligibility_time"),
             "user_id",
             "inner",
-            ["minute"],
+            bounded=True,
         )
         .groupBy("user_id")
         .agg(

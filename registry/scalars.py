@@ -258,10 +258,9 @@ SELECT doc_id, n_chars,
 FROM (SELECT doc_id, n_chars, lower(text) AS t FROM documents)
 """,
 )
-def text_class(spark, folder):
-    return load(spark, folder, "documents").select(
-        "doc_id", "n_chars", recode.text_class(F.col("text"), TEXT_CLASSES).alias("class")
-    )
+def classified_text(spark, folder):
+    docs = load(spark, folder, "documents").select("doc_id", "n_chars", "text")
+    return recode.text_class(docs, "text", TEXT_CLASSES, "class").drop("text")
 
 
 @query(

@@ -96,3 +96,19 @@ def test_fractional_time_and_one_axis(spark):
 def test_unknown_entity_or_time_is_dropped(spark):
     df = spark.createDataFrame([(1, 1, 5), (None, 1, 5), (1, None, 5)], "e int, t int, v int")
     assert along_time(df, ["e"], "t", [Last("l", "v")], 10).count() == 1
+
+
+def test_hot_entity_is_spread_over_tasks(spark):
+    """One entity with nearly all rows: its blocks finish in many tasks, not in one."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(60_000).select(F.lit(1).alias("e"), F.col("id").alias("t"), (F.col("id") % 5).alias("v"))
+    rest = spark.range(200).select((F.col("id") + 2).cast("int").alias("e"), F.col("id").alias("t"), F.lit(1).cast("long").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = along_time(hot.unionByName(rest), ["e"], "t", [RunningSum("s", "v"), Last("l", "v")], 1000)
+        per_task = got.filter("e = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 50_000
+    assert got.filter("e = 1").agg(F.max("s")).first()[0] == 60_000 // 5 * 10

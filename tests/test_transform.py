@@ -79,7 +79,7 @@ def test_charted_concepts(frame, rows):
 
 def test_drug_classes_in_order(frame):
     df = frame([("FUROSEMIDE and morphine",), ("Albuterol neb",), ("Septra DS",), ("Torsemide",), ("water",)], "m string")
-    got = [r.c for r in df.select(recode.text_class(F.col("m"), fixed.DRUG_CLASSES).alias("c")).collect()]
+    got = [r.c for r in recode.text_class(df, "m", fixed.DRUG_CLASSES, "c").collect()]
     assert got == ["lasix", "puffer", "abx", None, None]
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -46,11 +45,10 @@ def constant_for_null(x: Column, value) -> Column:
     return F.coalesce(x, F.lit(value))
 
 
-def literal_alternation(patterns: Iterable[str]) -> str:
-    """One regular expression that finds any of the literal substrings."""
-    return "|".join(re.escape(p).replace("\\ ", " ") for p in dict.fromkeys(patterns))
-
-
 def contains_any(text: Column, patterns: Iterable[str]) -> Column:
-    """True where the lower-cased text holds any of the literal substrings."""
-    return F.lower(text).rlike(literal_alternation(patterns))
+    """True where the text holds any of the literal substrings, tried in order."""
+    out = None
+    for p in dict.fromkeys(patterns):
+        hit = text.contains(p)
+        out = hit if out is None else out | hit
+    return out

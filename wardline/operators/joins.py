@@ -25,6 +25,7 @@ def keyed_join(
     spread: Sequence[str] | None = None,
     limit: int = BROADCAST_LIMIT,
     rows_per_task: int = ROWS_PER_TASK,
+    bounded: bool = False,
 ) -> DataFrame:
     """Equi-join of a long table to a narrower one, with any share of rows under one key.
 
@@ -36,6 +37,9 @@ def keyed_join(
     ``small`` rows of such a key are repeated once per salt. The list of these keys has fewer
     than ``rows(big) / rows_per_task`` entries, which is what allows broadcasting it.
 
+    ``bounded`` says that ``big`` has a limited number of rows per key by construction (one per
+    minute, one per rule), so no key needs counting or salting.
+
     ``how``: inner, left, left_semi or left_anti, all from the side of ``big``.
     """
     on = [on] if isinstance(on, str) else list(on)
@@ -43,6 +47,8 @@ def keyed_join(
         raise ValueError(f"unsupported join type {how}")
     if planned_bytes(small) <= limit:
         return big.join(F.broadcast(small), on, how)
+    if bounded:
+        return big.join(small, on, how)
     hot = F.broadcast(
         big.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -249,7 +249,7 @@ def eligibility(
     stays = stay_flags(t).filter(
         "eligibility_admission = 1 AND eligibility_outcome = 1 AND eligibility_age = 1"
     )
-    moments = keyed_join(states.filter(moment), stays, "stay_id", "inner", ["time"])
+    moments = keyed_join(states.filter(moment), stays, "stay_id", "inner", bounded=True)
     index = best_row(
         moments,
         ["subject_id"],
@@ -378,8 +378,9 @@ def long_table(t: Tables, cohort: DataFrame, device: DataFrame) -> DataFrame:
         t["procedureevents"].select("stay_id", F.col("starttime").alias("charttime"), "itemid", one.alias("n")),
         [recode.Concept(c, v) for c, v in fixed.PROCEDURES.items()], "itemid", "n",
     )
-    drugs = t["emar"].filter(F.col("event_txt").isin(fixed.GIVEN)).select(
-        "hadm_id", "charttime", recode.text_class(F.col("medication"), fixed.DRUG_CLASSES).alias("variable")
+    given = t["emar"].filter(F.col("event_txt").isin(fixed.GIVEN))
+    drugs = recode.text_class(given, "medication", fixed.DRUG_CLASSES, "variable").select(
+        "hadm_id", "charttime", "variable"
     )
     return censor_at_first(
         dedupe_max(
@@ -436,7 +437,7 @@ def pressor_state(t: Tables, cohort: DataFrame) -> DataFrame:
     state = interval_state(
         switches.filter(in_window), ["stay_id"], "time", "channel", fixed.PRESSORS, 86_400
     )
-    return keyed_join(state, ids, "stay_id", "inner", ["time"]).select(
+    return keyed_join(state, ids, "stay_id", "inner", bounded=True).select(
         "stay_id",
         (minute - F.col("_in") - F.col("_index")).alias("time"),
         F.lit("pressor").alias("variable"),
@@ -513,8 +514,8 @@ def clean_baseline(wide: DataFrame, excluded: Sequence[int] = ()) -> DataFrame:
     ).withColumn("intime", F.hour("intime"))
 
 
-def standard_table(long: DataFrame, clean: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Transformed, censored and standardised long table, and its means and deviations."""
+def prepared_table(long: DataFrame, clean: DataFrame) -> DataFrame:
+    """Scored, transformed and censored long table with device indicators."""
     ids = clean.select("stay_id", "death_obs", "death_obs_time", "icu_dc", "icu_dc_time")
     scored = replace_parts(long, ["stay_id", "time"], fixed.COMA_PARTS, "GCS").filter(
         between(F.col("time"), after=-12 * fixed.HOUR, to=fixed.FOLLOW_UP)
@@ -525,9 +526,13 @@ def standard_table(long: DataFrame, clean: DataFrame) -> tuple[DataFrame, DataFr
         before, ids, "stay_id", "death_obs", "death_obs_time", "icu_dc", "icu_dc_time",
         spread=["time", "variable"],
     )
-    marked = indicators(censored, "o2_device", fixed.FIRST_DEVICES)
-    scale = mean_sd(marked, fixed.FIRST_STANDARDISED)
-    return standardised(marked, scale), scale
+    return indicators(censored, "o2_device", fixed.FIRST_DEVICES)
+
+
+def standard_table(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The standardised long table, and its means and deviations."""
+    scale = mean_sd(prepared, fixed.FIRST_STANDARDISED)
+    return standardised(prepared, scale), scale
 
 
 MODEL_ORDER = fixed.FIRST_CONTINUOUS + fixed.FIRST_BINARY
@@ -625,7 +630,7 @@ def build(t: Tables, excluded: Sequence[int] = (), folder: str | None = None) ->
     wide = keep(baseline(t, cohort, long), "baseline")
     clean = clean_baseline(wide, excluded)
     kept = exclude_listed(long, "stay_id", excluded)
-    standard, scale = standard_table(kept, clean)
+    standard, scale = standard_table(keep(prepared_table(kept, clean), "prepared"))
     standard, scale = keep(standard, "standard"), keep(scale, "scale")
     grid = keep(model_grid(standard), "grid")
     return {

@@ -332,8 +332,8 @@ def clean_table(
 MODEL_ORDER = fixed.SECOND_CONTINUOUS + fixed.SECOND_BINARY
 
 
-def standard_table(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
-    moved = transformed(clean, fixed.SECOND_TRANSFORMS)
+def standard_table(moved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The standardised long table from the transformed one, and its means and deviations."""
     scale = mean_sd(moved, fixed.SECOND_STANDARDISED)
     return standardised(moved, scale), scale
 
@@ -437,7 +437,7 @@ def build(t: Tables, excluded: Sequence[int] = (), folder: str | None = None) ->
     long = keep(long_table(t, cohort(eligible), oxygen, vital_signs(t), blood_gases(t)), "long")
     rows, people = clean_table(long, t, excluded)
     rows, people = keep(rows, "clean"), keep(people, "people")
-    standard, scale = standard_table(rows)
+    standard, scale = standard_table(keep(transformed(rows, fixed.SECOND_TRANSFORMS), "moved"))
     standard, scale = keep(standard, "standard"), keep(scale, "scale")
     cells = keep(model_grid(standard), "cells")
     entities = entity_table(people, eligible.withColumnRenamed("o2_device", "o2_device_index"))
