@@ -17,6 +17,7 @@ from registry.base import (
     rounded,
     signals,
 )
+from wardline.functions.scalars import flag
 from wardline.operators.blocks import EverBy, FirstRow, Last, RunningMax, Whole, along_time
 from wardline.operators.joins import keyed_join
 from wardline.operators.pick import best_row
@@ -203,10 +204,14 @@ FROM p JOIN s ON s.user_id = p.user_id GROUP BY 1, 2, 3, 4, 5
 """,
 )
 def eligibility_index(spark, folder):
-    """Signals, look-back state, eligible moments, one index time per subject, roll-up."""
-    seen = signals(spark, folder)
+    """Signals, look-back state, eligible moments, one index time per subject, roll-up.
+
+    A moment is eligible only if nothing of the ventilator is seen up to 30 minutes later, so
+    the first and last such minute of the user tell everything about the time after it.
+    """
+    on = F.when(F.col("vent") == 1, F.col("minute"))
     state = along_time(
-        seen,
+        signals(spark, folder),
         ["user_id"],
         "minute",
         [
@@ -214,6 +219,8 @@ def eligibility_index(spark, folder):
             Last("sat", "sat", within=2880),
             EverBy("vent_ever", "vent", 30),
             Whole("limit_ever", "limit"),
+            Whole("vent_first", on, "min"),
+            Whole("vent_last", on, "max"),
         ],
         DAY,
     )
@@ -234,32 +241,22 @@ def eligibility_index(spark, folder):
         moments,
         ["subject"],
         [F.col("user_id"), F.col("minute")],
-        ["user_id", F.col("minute").alias("eligibility_time"), F.col("sat").alias("sat_bl"), F.col("oxy").alias("oxy_bl")],
-    )
-    since = F.col("minute") - F.col("eligibility_time")
-    events_after = (
-        keyed_join(
-            seen.filter("vent = 1").select("user_id", "minute"),
-            index.select("user_id", "eligibility_time"),
+        [
             "user_id",
-            "inner",
-            bounded=True,
-        )
-        .groupBy("user_id")
-        .agg(
-            F.max(F.when(since < 7200, 1).otherwise(0)).alias("imv_ever"),
-            F.min(since).alias("imv_time"),
-            F.max(F.when(since >= 7200, 1).otherwise(0)).alias("imv_after_censor"),
-        )
+            F.col("minute").alias("eligibility_time"),
+            F.col("sat").alias("sat_bl"),
+            F.col("oxy").alias("oxy_bl"),
+            (F.col("vent_first") - F.col("minute")).alias("imv_time"),
+            (F.col("vent_last") - F.col("minute")).alias("_last"),
+        ],
     )
-    zero = F.lit(0)
-    return index.join(events_after, "user_id", "left").select(
+    return index.select(
         "subject",
         "user_id",
         "eligibility_time",
         "sat_bl",
         "oxy_bl",
-        F.coalesce("imv_ever", zero).alias("imv_ever"),
+        flag(F.col("imv_time") < 7200).alias("imv_ever"),
         "imv_time",
-        F.coalesce("imv_after_censor", zero).alias("imv_after_censor"),
+        flag(F.col("_last") >= 7200).alias("imv_after_censor"),
     )

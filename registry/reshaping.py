@@ -22,6 +22,7 @@ from registry.base import (
 )
 from wardline.operators import reshape, sample, transform
 from wardline.operators.longtable import indicators
+from wardline.sources.tables import materialise
 
 TRANSFORMS = transform.Transforms(
     logged=["resp_rate", "heart_rate", "po2", "ph", "pco2"],
@@ -80,8 +81,11 @@ INVERSE_SQL = f"""
 
 
 def standard(spark, folder):
-    """Transformed and standardised vitals with their means and deviations."""
-    moved = transform.transformed(vitals_long(spark, folder), TRANSFORMS)
+    """Transformed and standardised vitals with their means and deviations.
+
+    Two passes over the transformed table, so it is written first.
+    """
+    moved = materialise(transform.transformed(vitals_long(spark, folder), TRANSFORMS), "moved")
     scale = transform.mean_sd(moved, CONTINUOUS)
     return transform.standardised(moved, scale), scale
 

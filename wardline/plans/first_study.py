@@ -188,6 +188,8 @@ def stay_states(t: Tables, device: DataFrame) -> DataFrame:
             Last("o2_device_bl", "o2_device_bl", within=480),
             Last("spo2", "spo2", within=120),
             Whole("goc", "goc"),
+            Whole("imv_first", F.when(F.col("imv") == 1, F.col("time")), "min"),
+            Whole("imv_last", F.when(F.col("imv") == 1, F.col("time")), "max"),
         ],
         fixed.DAY,
     )
@@ -268,26 +270,15 @@ def eligibility(
             "eligibility_outcome",
             F.lit(1).alias("eligibility_trach"),
             F.lit(1).alias("goc_eligible"),
+            (F.col("imv_first") - F.col("time")).alias("imv_time"),
+            (F.col("imv_last") - F.col("time")).alias("_imv_last"),
         ],
     )
-    since = minutes_between("charttime", "intime") - F.col("eligibility_time")
-    intubations = (
-        keyed_join(
-            device.filter("o2_device = 6").select(*KEY),
-            index.select("stay_id", "intime", "eligibility_time"),
-            "stay_id",
-            "inner",
-            ["charttime"],
-        )
-        .groupBy("stay_id")
-        .agg(
-            F.max(F.when(since < fixed.FOLLOW_UP, 1).otherwise(0)).alias("imv_ever"),
-            F.min(since).alias("imv_time"),
-            F.max(F.when(since >= fixed.FOLLOW_UP, 1).otherwise(0)).alias("imv_after_censor"),
-        )
-    )
-    return index.join(intubations, "stay_id", "left").fillna(
-        0, ["imv_ever", "imv_after_censor"]
+    # No intubation precedes an eligible moment, so the first and last one of the stay decide.
+    return (
+        index.withColumn("imv_ever", flag(F.col("imv_time") < fixed.FOLLOW_UP))
+        .withColumn("imv_after_censor", flag(F.col("_imv_last") >= fixed.FOLLOW_UP))
+        .drop("_imv_last")
     )
 
 
