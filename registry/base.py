@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from wardline.functions.recode import Concept, map_concepts
 from wardline.functions.timeaxis import minute_number
 from wardline.operators.longtable import dedupe_max, indicators
+from wardline.sources.tables import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +89,11 @@ def signals(spark, folder) -> DataFrame:
     )
 
 
+def written_signals(spark, folder) -> DataFrame:
+    """``signals`` written and read back, for walks whose two passes need different columns."""
+    return materialise(signals(spark, folder), "signals")
+
+
 SIGNALS_SQL = f"""
   SELECT user_id, minute,
          max(CASE WHEN event_type = 'view' THEN value END) AS sat,

@@ -16,6 +16,7 @@ from registry.base import (
     query,
     rounded,
     signals,
+    written_signals,
 )
 from wardline.functions.scalars import flag
 from wardline.operators.blocks import EverBy, FirstRow, Last, RunningMax, Whole, along_time
@@ -59,7 +60,7 @@ FROM ({SIGNALS_SQL})
 )
 def ever_with_slack(spark, folder):
     return along_time(
-        signals(spark, folder),
+        written_signals(spark, folder),
         ["user_id"],
         "minute",
         [
@@ -134,7 +135,7 @@ FROM ({SIGNALS_SQL})
 )
 def first_value(spark, folder):
     return along_time(
-        signals(spark, folder),
+        written_signals(spark, folder),
         ["user_id"],
         "minute",
         [FirstRow("sat_first", "sat"), FirstRow("oxy_first", "oxy")],
@@ -211,7 +212,7 @@ def eligibility_index(spark, folder):
     """
     on = F.when(F.col("vent") == 1, F.col("minute"))
     state = along_time(
-        signals(spark, folder),
+        written_signals(spark, folder),
         ["user_id"],
         "minute",
         [

@@ -18,6 +18,11 @@ from wardline.operators.joins import (
 from wardline.operators.longtable import stack_long, to_long, union_distinct, union_long
 from wardline.operators.reshape import to_grid
 from wardline.operators.spine import align, prefer_mean, product_mean, spine, sum_and_count
+from wardline.sources.tables import materialise
+
+
+def written(timeline):
+    return materialise(timeline, "timeline")
 
 
 def _sources(spark, folder):
@@ -204,7 +209,7 @@ def asof_last(spark, folder):
         F.col("o_orderpriority").alias("service"),
     )
     return asof_join(
-        od, records, ["o_custkey"], "day", "before_day", ["before_day", "service"], 60, strict=True
+        od, records, ["o_custkey"], "day", "before_day", ["before_day", "service"], 60, strict=True, cut=written
     ).select("o_orderkey", "before_day", "service")
 
 
@@ -243,7 +248,7 @@ def nearest(spark, folder):
         "user_id", F.col("minute").alias("at"), F.col("value").alias("fio2")
     )
     return nearest_in_window(
-        left, right, ["user_id"], "minute", "at", ["fio2"], 1440, 360, DAY
+        left, right, ["user_id"], "minute", "at", ["fio2"], 1440, 360, DAY, cut=written
     ).select("event_id", "gap", "fio2")
 
 

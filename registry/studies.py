@@ -20,7 +20,7 @@ from registry.base import (
     load,
     query,
     rounded,
-    signals,
+    written_signals,
 )
 from registry.reshaping import FILLED, INVERSE_SQL, SCALE_SQL, STANDARD_SQL, TRANSFORMS, cells_sql, standard
 from registry.rules_outcomes import FLAGS_SQL, outcome_flags_frame, outcomes_sql
@@ -46,7 +46,7 @@ INDEX_SQL = f"""
 
 def index_times(spark, folder):
     state = along_time(
-        signals(spark, folder),
+        written_signals(spark, folder),
         ["user_id"],
         "minute",
         [

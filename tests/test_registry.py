@@ -13,7 +13,7 @@ QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables are not here")
 # Answers that are rightly empty on the smallest tables.
 MAY_BE_EMPTY = {"first_event", "exclude_by_category"}
-# Random draws have no SQL form; they write intermediate tables or take long to plan.
+# Plans of these begin at tables they have just written; the rest are planned from the source.
 WRITES = {"cohort_build", "carry_and_evaluate", "impute_and_evaluate", "written_results", "remaining_entities"}
 
 

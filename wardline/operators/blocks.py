@@ -262,6 +262,11 @@ def along_time(
     rows with an unknown entity or time are dropped. All specs share the same shuffle and the same summaries. With no
     ``by`` the whole frame is one axis. ``block`` replaces the equal widths by any integer
     column that never decreases with ``time``.
+
+    ``df`` is read by two passes, summaries and rows. They share its last exchange as long as
+    both need the same columns and rows of it. Where the caller goes on to drop columns or
+    filter the result, Catalyst carries that into the rows pass alone and the source is read
+    twice: write a costly ``df`` first (``sources.tables.materialise``).
     """
     by = list(by)
     keys = by + [BLOCK]

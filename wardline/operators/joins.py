@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -144,6 +144,7 @@ def asof_join(
     strict: bool = False,
     within: float | None = None,
     forward: bool = False,
+    cut: Callable[[DataFrame], DataFrame] = lambda timeline: timeline,
 ) -> DataFrame:
     """The right record nearest before (or after) each left time, per entity.
 
@@ -151,9 +152,12 @@ def asof_join(
     carried along it; no pair of rows is formed. Right records at one instant are reduced
     to the largest, so the result does not depend on row order. Left rows keep their
     columns and gain ``columns``, NULL where there is no record.
+
+    The timeline is read by two passes that need different columns of it. Give ``cut`` a
+    function that writes it and reads it back to scan long inputs once.
     """
     by = list(by)
-    marks = _timeline(left, right, by, left_time, right_time, columns)
+    marks = cut(_timeline(left, right, by, left_time, right_time, columns))
     spec = (Next if forward else Last)("_hit", "_rec", within=within, strict=strict)
     answered = along_time(marks, by, "_at", [spec], width)
     return _answer(left, answered, by, left_time, [F.col("_hit")[c].alias(c) for c in columns])
@@ -170,15 +174,16 @@ def nearest_in_window(
     after: float,
     width: float,
     gap_out: str = "gap",
+    cut: Callable[[DataFrame], DataFrame] = lambda timeline: timeline,
 ) -> DataFrame:
     """The right record closest in time, less than ``before`` back or ``after`` ahead.
 
     The closest record is either the latest at or before or the earliest at or after, so
     two carried columns decide it. An equal distance goes to the earlier record. ``gap_out``
-    is the signed time from the left row to the record.
+    is the signed time from the left row to the record. ``cut`` is as for ``asof_join``.
     """
     by = list(by)
-    marks = _timeline(left, right, by, left_time, right_time, columns)
+    marks = cut(_timeline(left, right, by, left_time, right_time, columns))
     answered = along_time(
         marks,
         by,
