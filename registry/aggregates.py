@@ -43,6 +43,7 @@ from wardline.operators.pick import (
 from wardline.operators.quantiles import exact_quantiles
 from wardline.operators.reshape import to_grid
 from wardline.operators.transform import mean_sd
+from wardline.sources.tables import materialise
 
 
 @query(
@@ -336,6 +337,10 @@ def table_one(spark, folder):
     people = keyed_join(od, cu, "c_custkey", "inner", ["o_orderkey"])
     people = keyed_join(people, na, "c_nationkey", "inner", ["o_orderkey"])
     people = keyed_join(people, re, "n_regionkey", "inner", ["o_orderkey"])
+    # Counts, sizes, sketch and ranks each pass over the people: write them once.
+    people = materialise(
+        people.select("c_mktsegment", "o_orderpriority", "o_orderstatus", "r_name", "o_totalprice"), "people"
+    )
     return rounded(
         summary.stratified_summary(
             people, "c_mktsegment", ["o_orderpriority", "o_orderstatus", "r_name"], ["o_totalprice"]

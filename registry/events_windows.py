@@ -14,7 +14,6 @@ from registry.base import (
     infusions,
     load,
     query,
-    rounded,
     signals,
     written_signals,
 )

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import (
-    BINARY,
     CONTINUOUS,
     DAY,
     DEVICE_LEVELS,
-    DEVICE_SQL,
     VITALS,
     VITALS_SQL,
     carried_sql,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.base import DAY, EVENTS_SQL, SIGNALS_SQL, events, load, orders, query, rounded, signals
+from registry.base import EVENTS_SQL, SIGNALS_SQL, events, load, orders, query, rounded, signals
 from wardline.functions import recode
 from wardline.functions.scalars import (
     constant_for_null,
@@ -17,7 +17,6 @@ from wardline.functions.scalars import (
     truthy,
 )
 from wardline.functions.timeaxis import between, minutes_from_ms
-from wardline.operators.blocks import Whole, along_time
 from wardline.operators.joins import keyed_join
 
 

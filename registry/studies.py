@@ -27,9 +27,9 @@ from registry.rules_outcomes import FLAGS_SQL, outcome_flags_frame, outcomes_sql
 from wardline.operators import transform
 from wardline.operators.blocks import EverBy, Last, along_time
 from wardline.operators.joins import keyed_join
-from wardline.operators.longtable import censor_at_first, dedupe_max
+from wardline.operators.longtable import censor_at_first
 from wardline.operators.outcomes import evaluate_rules
-from wardline.operators.pick import best_row, latest_at_index
+from wardline.operators.pick import latest_at_index
 from wardline.operators.reshape import to_grid
 from wardline.sources.tables import gather_results, materialise, remaining, shared_folder, write_results
 

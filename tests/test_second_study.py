@@ -1,7 +1,6 @@
 """Second study on a hand-written database, step by step."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.second_database import tables
 from wardline.operators.impute import GaussianProcess

@@ -1,7 +1,6 @@
 """Reading, writing, resuming, reports and draws."""
 
 import glob
-import os
 
 import pytest
 from pyspark.sql import functions as F

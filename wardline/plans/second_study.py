@@ -41,7 +41,6 @@ from wardline.operators.state import signed_delta_state
 from wardline.operators.transform import (
     carried_dataset,
     mean_sd,
-    model_extract,
     standardised,
     transformed,
 )
