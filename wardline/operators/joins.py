@@ -23,8 +23,8 @@ def keyed_join(
     on: Sequence[str] | str,
     how: str = "inner",
     spread: Sequence[str] | None = None,
-    limit: int = BROADCAST_LIMIT,
-    rows_per_task: int = ROWS_PER_TASK,
+    limit: int | None = None,
+    rows_per_task: int | None = None,
     bounded: bool = False,
 ) -> DataFrame:
     """Equi-join of a long table to a narrower one, with any share of rows under one key.
@@ -45,6 +45,8 @@ def keyed_join(
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
+    limit = BROADCAST_LIMIT if limit is None else limit
+    rows_per_task = ROWS_PER_TASK if rows_per_task is None else rows_per_task
     if planned_bytes(small) <= limit:
         return big.join(F.broadcast(small), on, how)
     if bounded:
@@ -95,8 +97,8 @@ def join_where(
     on: Sequence[str] | str,
     condition: Column,
     spread: Sequence[str] | None = None,
-    limit: int = BROADCAST_LIMIT,
-    rows_per_task: int = ROWS_PER_TASK,
+    limit: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Left join with a constant predicate on the right side: filter it first, then join.
 
@@ -105,7 +107,7 @@ def join_where(
     """
     on = [on] if isinstance(on, str) else list(on)
     wanted = right.filter(condition)
-    if planned_bytes(wanted) <= limit:
+    if planned_bytes(wanted) <= (BROADCAST_LIMIT if limit is None else limit):
         return left.join(F.broadcast(wanted), on, "left")
     columns = [*left.columns, *[c for c in wanted.columns if c not in on]]
     matched = keyed_join(wanted, left, on, "inner", spread, limit, rows_per_task).select(*columns)
