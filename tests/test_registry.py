@@ -6,10 +6,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from registry import ORACLES, QUERIES
 from tools.check_oracle import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables are not here")
 # Answers that are rightly empty on the smallest tables.
 MAY_BE_EMPTY = {"first_event", "exclude_by_category"}
