@@ -1,0 +1,183 @@
+"""One document of each group of near copies, for corpora whose copies differ by whole words.
+
+Sixty-four fingerprint bits at most two apart find copies that differ in case, spacing and a word or
+two of a long text. Texts that share four fifths of their five-word shingles lie three to fourteen
+bits apart, out of the reach of such keys. So this takes the links of ``simhash`` and, besides
+them, candidates that agree in a band of least shingles, checked on the texts themselves.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
+
+from wardline.llm.common import ROW_KEY, append, arrow_map, same_row, with_row_key
+from wardline.llm.components import components
+from wardline.llm.simhash import fingerprint, links, plain_words, shingle_hashes
+from wardline.sources.tables import materialise
+
+WORDS = 5
+SIMILAR = 0.8
+BANDS, ROWS = 20, 5
+# Documents of a band that are compared pair by pair; in larger bands each meets three chosen ones.
+PAIRED = 12
+
+_MULTIPLY = np.random.default_rng(20240501).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(parts: list[bytes]) -> list[int]:
+    """One signed key per band: a hash of the least shingles under ``ROWS`` orders."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for hashes in shingle_hashes(parts, WORDS):
+        plain = hashes.astype(np.uint64)
+        for k in range(0, len(plain), 1024):
+            least = np.minimum(least, (plain[k : k + 1024, None] * _MULTIPLY).min(axis=0))
+    rows = least.astype("<u8").reshape(BANDS, ROWS)
+    keys = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)]
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    found = list(shingle_hashes(plain_words(text), WORDS))
+    return np.unique(np.concatenate(found).astype(np.uint64)) if found else np.zeros(0, dtype=np.uint64)
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
+
+
+def _prints(batches):
+    for batch in batches:
+        plain, prints, bands = [], [], []
+        for value in batch.column("text"):
+            text = value.as_py()
+            parts = plain_words(text)
+            plain.append(xxhash.xxh3_64_intdigest(b" ".join(parts)))
+            prints.append(fingerprint(text))
+            bands.append(band_keys(parts) if parts else [])
+        yield append(
+            batch,
+            ["text"],
+            {
+                "plain": pa.array(np.array(plain, dtype=np.uint64).view(np.int64)),
+                "fingerprint": pa.array(np.array(prints, dtype=np.uint64).view(np.int64)),
+                "bands": pa.array(bands, pa.list_(pa.int64())),
+            },
+        )
+
+
+def _similar(batches):
+    for batch in batches:
+        kept, last, held = [], None, None
+        for a, one, other in zip(batch.column("a").to_pylist(), batch.column("one"), batch.column("other")):
+            if a != last:
+                last, held = a, shingle_set(one.as_py())
+            kept.append(similarity(held, shingle_set(other.as_py())) >= SIMILAR)
+        yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
+
+
+def candidates(prints: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of ``plain`` that share a band; ``prints`` has distinct ``plain`` and its ``bands``.
+
+    Bands of up to ``PAIRED`` documents give their pairs. In a larger one each document is paired with
+    three of it: the one that shares bands with most documents, as the original of many copies does, and
+    two that the hash picks, others in each band.
+    """
+    keys = materialise(prints.select("plain", F.posexplode("bands").alias("band", "key")), "band-keys")
+    shared = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = materialise(keys.join(shared, ["band", "key"]), "bands")
+    lists = held.filter(F.col("n") <= PAIRED).groupBy("band", "key").agg(F.sort_array(F.collect_list("plain")).alias("l"))
+    pairs = lists.select(
+        F.explode(
+            F.expr(
+                """flatten(transform(sequence(1, size(l) - 1), i -> transform(
+                     slice(l, i + 1, size(l)), y -> named_struct('a', l[i - 1], 'b', y))))"""
+            )
+        ).alias("p")
+    ).select("p.a", "p.b")
+    crowd = held.filter(F.col("n") > PAIRED)
+    if crowd.isEmpty():
+        return pairs.distinct()
+    crowd = materialise(crowd, "crowded-bands")
+    score = crowd.groupBy("plain").agg(F.sum("n").alias("score"))
+    draw = F.xxhash64("plain", "band")
+    chosen = crowd.join(score, "plain").groupBy("band", "key").agg(
+        F.max_by("plain", F.struct("score", "plain")).alias("p0"),
+        F.min_by("plain", draw).alias("p1"),
+        F.max_by("plain", draw).alias("p2"),
+    )
+    met = crowd.join(chosen, ["band", "key"]).select("plain", F.explode(F.array("p0", "p1", "p2")).alias("p"))
+    through = met.filter("plain <> p").select(F.least("plain", "p").alias("a"), F.greatest("plain", "p").alias("b"))
+    return pairs.union(through).distinct()
+
+
+def near_copy_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``ROW_KEY`` and ``root`` of every document; near copies have one ``root``.
+
+    Two documents are linked when their fingerprints are at most two bits apart or their sets of
+    five-word shingles are at least four fifths alike; classes are connected components. Texts that differ in case
+    and spacing only are one text. Documents without words are alike.
+    """
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    keyed = with_row_key(slim).drop("doc_id")
+    row = "_row_id bigint, _text_hash bigint, _text_sum bigint"
+    prints = materialise(
+        arrow_map(keyed, _prints, f"{row}, plain bigint, fingerprint bigint, bands array<bigint>"), "copy-prints"
+    )
+    # Equal plain texts have equal fingerprints and bands, so any of them stands for all.
+    one = prints.groupBy("plain").agg(
+        F.first("fingerprint").alias("fingerprint"),
+        F.first("bands").alias("bands"),
+        F.min(F.struct(*ROW_KEY)).alias("row"),
+    )
+    one = materialise(one, "plain-texts")
+    close = links(one.select("fingerprint").distinct())
+    first = materialise(one.groupBy("fingerprint").agg(F.min("plain").alias("plain")), "first-plain")
+    same = one.select("plain", "fingerprint").join(first.withColumnRenamed("plain", "b"), "fingerprint")
+    by_print = same.filter("plain <> b").select(F.col("plain").alias("a"), "b")
+    for side in ("a", "b"):
+        close = close.join(first.select(F.col("fingerprint").alias(side), F.col("plain").alias(f"_{side}")), side)
+    by_print = by_print.union(close.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+
+    pairs = materialise(candidates(one), "candidates")
+    ends = pairs.select(F.col("a").alias("plain")).union(pairs.select("b")).distinct()
+    rows = one.select("plain", "row.*").join(ends, "plain")
+    texts = keyed.join(rows, same_row(keyed, rows)).select("plain", "text")
+    texts = materialise(texts.groupBy("plain").agg(F.any_value("text").alias("text")), "candidate-texts")
+    left = texts.select(F.col("plain").alias("a"), F.col("text").alias("one"))
+    right = texts.select(F.col("plain").alias("b"), F.col("text").alias("other"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "one", "other")
+    alike = arrow_map(both, _similar, "a bigint, b bigint")
+
+    roots = components(by_print.union(alike))
+    found = prints.select(*ROW_KEY, "plain").join(roots, prints["plain"] == roots["node"], "left")
+    return found.select(*ROW_KEY, F.coalesce("root", "plain").alias("root"))
+
+
+def keep_first(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the least id of each class, with all its columns; a class without ids keeps its least hash."""
+    classes = materialise(classes, "classes")
+    order = F.struct(F.col("_row_id").isNull().alias("no_id"), *ROW_KEY)
+    first = classes.groupBy("root").agg(F.min(order).alias("k")).select("k._row_id", "k._text_hash", "k._text_sum")
+    rows = classes.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = first.join(rows, same_row(first, rows)).select(*[first[c] for c in ROW_KEY], "_rows")
+    kept = materialise(kept, "kept")
+    keyed = with_row_key(docs, doc_id, text)
+    once = kept.filter("_rows = 1")
+    out = keyed.join(once, same_row(keyed, once), "left_semi")
+    more = kept.filter("_rows > 1")
+    if not more.isEmpty():
+        out = out.union(keyed.join(more, same_row(keyed, more), "left_semi").dropDuplicates(ROW_KEY))
+    return out.select(*docs.columns)
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each class of near copies, with all its columns.
+
+    Rows that agree in id and text are one document, of which one row stays. Null and empty texts and such without words are one class. An empty
+    table stays empty.
+    """
+    return keep_first(docs, near_copy_classes(docs, doc_id, text), doc_id, text)
