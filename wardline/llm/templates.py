@@ -53,7 +53,11 @@ def core(word: str) -> str:
 
 
 class Lexicon:
-    """What each word stands for, remembered within bounds: code, placeholder, capital, sentence end, no token."""
+    """What each word stands for, remembered within bounds.
+
+    ``kind`` has a row each for placeholders, words with a capital, words in capitals throughout,
+    ends of sentences and words without a letter or digit.
+    """
 
     def __init__(self):
         self.forget()
@@ -61,7 +65,7 @@ class Lexicon:
     def forget(self) -> None:
         self.of: dict[str, int] = {}
         self.code = np.zeros(1024, dtype=np.uint64)
-        self.kind = np.zeros((4, 1024), dtype=bool)
+        self.kind = np.zeros((5, 1024), dtype=bool)
 
     def learn(self, found: set[str]) -> None:
         if len(self.of) > KNOWN_WORDS:
@@ -72,7 +76,7 @@ class Lexicon:
             at = len(self.of)
             if at == len(self.code):
                 self.code = np.concatenate([self.code, np.zeros(at, dtype=np.uint64)])
-                self.kind = np.concatenate([self.kind, np.zeros((4, at), dtype=bool)], axis=1)
+                self.kind = np.concatenate([self.kind, np.zeros((5, at), dtype=bool)], axis=1)
             plain = core(word)
             self.of[word] = at
             slot = True
@@ -87,15 +91,19 @@ class Lexicon:
                 self.code[at] = _code(plain)
             first = next((c for c in word if c.isalnum()), "")
             ends = word == LINE_END or word.rstrip("\"')]”’»").endswith((".", "!", "?", "…"))
-            self.kind[:, at] = (slot, not slot and first.isupper(), ends, not any(map(str.isalnum, plain)))
+            self.kind[:, at] = (slot, not slot and first.isupper(), word.isupper(), ends, not any(map(str.isalnum, plain)))
 
     def read(self, words: list[str], starts: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
-        """Codes and placeholder flags of the tokens, the words they are, and whether a sentence starts next."""
+        """Codes and placeholder flags of the tokens, the words they are, and whether a sentence starts next.
+
+        A capitalised word is a name unless it begins a sentence or stands in a run of words in capitals.
+        """
         self.learn(set(words))
         at = np.fromiter(map(self.of.__getitem__, words), dtype=np.int64, count=len(words))
-        slot, capital, ends, no_token = self.kind[:, at]
+        slot, capital, loud, ends, no_token = self.kind[:, at]
         begins = np.concatenate([[starts], ends[:-1]])
-        name = capital & ~begins
+        beside = np.concatenate([[False], loud[:-1]]) | np.concatenate([loud[1:], [False]])
+        name = capital & ~begins & ~(loud & beside)
         kept = np.flatnonzero(~no_token)
         code = np.where(name, np.uint64(NAME), self.code[at])
         return code[kept], (slot | name)[kept], kept, bool(ends[-1])
