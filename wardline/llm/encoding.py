@@ -1,24 +1,34 @@
-"""Tokenizers inside tasks: each distinct word of a batch is encoded once."""
+"""Tokenizers inside tasks: what stands between blanks is encoded once per distinct string.
+
+Both kinds of tokenizer end a match between a visible character and white space, and at a letter run's
+end before a mark, whatever stands around. So a text is cut there, and the pieces' tokens put
+together are the text's. Where cutting is not proven safe, the text goes to the library whole.
+"""
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from wardline.llm.common import BLOCK_CHARS
+from wardline.llm.arrow_words import Growing, Vocabulary, slices, split_words, spread, sums
 
-# Words a task remembers before it starts afresh, and the characters these may hold.
-KNOWN_WORDS = 400_000
-KNOWN_CHARS = 8_000_000
-# White space of the tokenizers' patterns, and characters on which pattern engines differ.
-SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-DOUBTFUL = re.compile(r"[\x1c-\x1f\x85\u180e\u200b\ufeff]")
+# Strings a task remembers before it starts afresh, and characters of a batch for the library.
+KNOWN_PARTS = 1_000_000
+BATCH_CHARS = 1 << 20
+# Letters and then ASCII marks but the apostrophe, which begins contractions.
+SIMPLE = r"(?P<letters>[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+# Words after which a text is not cut: those that end in white space or what some engines take for it.
+UNSAFE_END = "[\\x01\\x02\\t-\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]$"
+# What a byte-level model has for a blank.
+BLANK = "\u0120"
+# Line ends, as one character each, that a word may begin with.
+BREAKS = (("\n\n", "\x02"), ("\n", "\x01"))
 
 
 @lru_cache(maxsize=4)
@@ -32,86 +42,165 @@ def tokenizer(path: str):
     return found
 
 
-def pieces(text: str) -> Iterator[list[str]]:
-    """A text cut before runs of white space, in blocks: where a byte-level pattern always ends a match.
+class Parts:
+    """Token ids of strings, as the library gives them, remembered within bounds."""
 
-    A match never runs from a visible character into white space, and nothing before a cut bears on
-    what follows, so the pieces' tokens put together are the text's.
-    """
-    at, size = 0, BLOCK_CHARS
-    while at < len(text):
-        found = PIECE.findall(text[at : at + size])
-        if at + size < len(text):
-            # The last piece may go on in the next block.
-            if len(found) == 1:
-                size *= 2
-                continue
-            last = found.pop()
-            at += min(size, len(text) - at) - len(last)
-        else:
-            at = len(text)
-        size = BLOCK_CHARS
-        yield found
-
-
-def words(text: str) -> Iterator[list[str]]:
-    """The runs between blanks and line ends of a text, in blocks."""
-    at = 0
-    while at < len(text):
-        stop = at + BLOCK_CHARS
-        if stop < len(text):
-            cut = max(text.rfind(" ", at, stop), text.rfind("\n", at, stop))
-            while cut < at and stop < len(text):
-                stop += BLOCK_CHARS
-                cut = max(text.rfind(" ", at, stop), text.rfind("\n", at, stop))
-            stop = cut + 1 if cut >= at else len(text)
-        yield text[at:stop].replace("\n", " ").split(" ")
-        at = stop
-
-
-class Known:
-    """What the library gives for pieces of text, remembered within bounds."""
-
-    def __init__(self, path: str, counts: bool):
+    def __init__(self, path: str, spaced: bool):
         self.library = tokenizer(path)
-        self.counts = counts
-        self.of: dict = {}
-        self.chars = 0
-
-    def learn(self, found: set[str]) -> None:
-        if len(self.of) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
-            self.of, self.chars = {}, 0
-        new = [w for w in found if w not in self.of]
-        # Batches of about equal bytes.
+        self.spaced = spaced
+        self._known = Vocabulary(self._learn, self._forget, KNOWN_PARTS)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._ids, self._first, self._length = Growing(np.int32), Growing(np.int64), Growing(np.int64)
+
+    def whole(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _encode(self, strings: list[str]) -> list[list[int]]:
+        """Ids of strings. ASCII letters, perhaps after a blank, are one match; the library's model codes them at once."""
+        out: list = [None] * len(strings)
+        code = self.library.model.tokenize
+        rest = []
+        for k, s in enumerate(strings):
+            bare = s[1:] if s[:1] == " " else s
+            if bare.isascii() and bare.isalpha() and (self.spaced or bare is s) and (self.spaced or bare.islower()):
+                out[k] = [t.id for t in code(s.replace(" ", BLANK))]
+            else:
+                rest.append(k)
+        for k, e in zip(rest, self.library.encode_batch_fast([strings[k] for k in rest], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
+
+    def _learn(self, fresh: pa.Array) -> None:
+        """Encodes new strings in batches of about equal length."""
+        new = fresh.to_pylist()
         at = 0
         while at < len(new):
             stop, size = at, 0
-            while stop < len(new) and (size < BLOCK_CHARS or stop == at):
+            while stop < len(new) and (size < BATCH_CHARS or stop == at):
                 size += len(new[stop])
                 stop += 1
-            coded = self.library.encode_batch_fast(new[at:stop], add_special_tokens=False)
-            for w, e in zip(new[at:stop], coded):
-                self.of[w] = len(e.ids) if self.counts else tuple(e.ids)
+            found = self._encode(new[at:stop])
+            length = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            self._first.extend(self._ids.size + np.cumsum(length) - length)
+            self._length.extend(length)
+            self._ids.extend(np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(length.sum())))
             at = stop
-            self.chars += size
-
-    def count(self, text: str) -> int:
-        if DOUBTFUL.search(text):
-            return len(self.library.encode(text, add_special_tokens=False).ids)
-        total = 0
-        for block in pieces(text):
-            self.learn(set(block))
-            total += sum(map(self.of.__getitem__, block))
+
+    def stretches(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each string begin, how many they are, and the ids of all."""
+        number = self._known.numbers(parts)
+        return self._first.values[number], self._length.values[number], self._ids.values
+
+
+def simple_parts(words: pa.Array, lead: pa.Array | None, lower: bool) -> pa.Array:
+    """Two parts of each word, one after the other: its letters and the marks that end it.
+
+    A word of another form is its own first part; the second is then empty. ``lead`` goes before the first part.
+    """
+    found = pc.extract_regex(words, "^" + SIMPLE)
+    plain = found.is_valid()
+    letters = pc.struct_field(found, "letters")
+    letters = pc.if_else(plain, pc.utf8_lower(letters) if lower else letters, words)
+    if lead is not None:
+        letters = pc.binary_join_element_wise(lead, letters, "")
+    marks = pc.if_else(plain, pc.struct_field(found, "marks"), "")
+    n = len(words)
+    order = pa.array(np.arange(2 * n).reshape(2, n).T.reshape(-1))
+    return pa.concat_arrays([letters.cast(pa.string()), marks.cast(pa.string())]).take(order)
+
+
+class Encoder:
+    """Token ids of whole texts for a tokenizer that drops white space and lower-cases."""
+
+    def __init__(self, path: str):
+        self.parts = Parts(path, False)
+        self.words = Vocabulary(self._learn, self._forget)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids, self.first, self.length = Growing(np.int32), Growing(np.int64), Growing(np.int64)
+
+    def _learn(self, words: pa.Array) -> None:
+        first, length, ids = self.parts.stretches(simple_parts(words, None, True))
+        own = length.reshape(-1, 2).sum(axis=1)
+        self.first.extend(self.ids.size + np.cumsum(own) - own)
+        self.length.extend(own)
+        self.ids.extend(ids[spread(first, length)])
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``(rows, number of ids, ids one row after another)``; a long text comes in several parts, in order."""
+        for part in slices(texts):
+            words, at = split_words(pc.replace_substring(part.texts, "\n", " "))
+            number = self.words.numbers(words)
+            length = self.length.values[number]
+            ids = self.ids.values[spread(self.first.values[number], length)]
+            yield part.owners, sums(length, at), ids
+
+
+class Counter:
+    """Token counts of whole texts for a byte-level tokenizer.
+
+    A text is cut before a blank, a line end or two of these that follow a visible character. Texts
+    with any other white space before a cut, or characters on which pattern engines differ, go to
+    the library whole.
+    """
+
+    def __init__(self, path: str):
+        self.parts = Parts(path, True)
+        self.words = Vocabulary(self._learn, self._forget)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.size, self.unsafe = Growing(np.int64), Growing(bool)
+
+    def _sizes(self, words: pa.Array, blank: bool) -> np.ndarray:
+        """Tokens of each word, with the blank or the line ends it follows."""
+        head = pc.utf8_slice_codeunits(words, 0, 1)
+        lead = pa.array([" " if blank else ""] * len(words), pa.string())
+        bare = words
+        for real, sign in BREAKS:
+            here = pc.equal(head, sign)
+            lead = pc.if_else(here, real, lead)
+            bare = pc.if_else(here, pc.utf8_slice_codeunits(bare, 1), bare)
+        _, length, _ = self.parts.stretches(simple_parts(bare, lead, False))
+        return length.reshape(-1, 2).sum(axis=1)
+
+    def _learn(self, words: pa.Array) -> None:
+        self.size.extend(self._sizes(words, True))
+        bad = pc.or_(pc.equal(words, ""), pc.match_substring_regex(words, UNSAFE_END))
+        self.unsafe.extend(bad.to_numpy(zero_copy_only=False))
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text."""
+        total = np.zeros(len(texts), dtype=np.int64)
+        for part in slices(texts):
+            signed = part.texts
+            odd = pc.match_substring_regex(signed, "[\x01\x02]").to_numpy(zero_copy_only=False)
+            for real, sign in BREAKS:
+                signed = pc.replace_substring(signed, real, f" {sign}")
+            words, at = split_words(signed)
+            number = self.words.numbers(words)
+            size, unsafe = self.size.values[number], self.unsafe.values[number].astype(np.int64)
+            first, last = at[:-1], at[1:] - 1
+            # No cut follows a text's last word; its first word follows no blank, and an empty one is no word.
+            unsafe[last] = 0
+            heads = words.take(pa.array(first))
+            unsafe[first[pc.equal(heads, "").to_numpy(zero_copy_only=False)]] = 0
+            size[first] = self._sizes(heads, False)
+            counts = sums(size, at)
+            for k in np.flatnonzero(odd | (sums(unsafe, at) > 0)):
+                counts[k] = len(self.parts.whole(part.texts[int(k)].as_py()))
+            np.add.at(total, part.owners, counts)
         return total
 
-    def encode(self, text: str) -> np.ndarray:
-        out = []
-        for block in words(text):
-            self.learn(set(block))
-            out.append(np.fromiter(chain.from_iterable(map(self.of.__getitem__, block)), dtype=np.int32))
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 @lru_cache(maxsize=4)
-def known(path: str, counts: bool) -> Known:
-    return Known(path, counts)
+def counter(path: str) -> Counter:
+    return Counter(path)

@@ -11,12 +11,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wardline.llm.common import arrow_map
-from wardline.llm.encoding import known
+from wardline.llm.encoding import encoder
 from wardline.sources.tables import shared_folder
 
 SCHEMA = "doc_id bigint, part int, before bigint, n_tokens bigint, ids array<int>"
-# Ids in one Arrow batch on its way to the writer.
-BATCH_IDS = 1 << 20
 
 
 def write_token_files(
@@ -38,43 +36,42 @@ def write_token_files(
     ``parts`` has one row per file: its ids, documents and the ids of all files before it. A null text is
     empty and has the end id alone; an empty table gives files without rows.
     """
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     spread = narrow.withColumn("_tie", F.monotonically_increasing_id())
     ordered = spread.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
 
     def run(batches):
-        coder, part, before = known(path, False), TaskContext.get().partitionId(), 0
+        coder, part, before = encoder(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype=np.int32)
-        keys, lists, held = [], [], 0
 
-        def flush(start):
-            n = np.array([len(x) for x in lists], dtype=np.int64)
+        def rows(keys, n, ids, start):
             stops = np.cumsum(n)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()),
-                    pa.array(np.full(len(n), part, dtype=np.int32)),
-                    pa.array(start + stops - n),
-                    pa.array(n),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], stops]).astype(np.int32)), pa.array(np.concatenate(lists))
-                    ),
-                ],
-                names=["doc_id", "part", "before", "n_tokens", "ids"],
-            )
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]).astype(np.int32)), pa.array(ids))
+            numbers = [np.full(len(n), part, dtype=np.int32), start + stops - n, n]
+            return pa.RecordBatch.from_arrays([keys, *map(pa.array, numbers), lists], names=names)
 
         for batch in batches:
-            for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.concatenate([coder.encode(value.as_py() or ""), end])
-                keys.append(key)
-                lists.append(ids)
-                held += len(ids)
-                if held >= BATCH_IDS:
-                    yield flush(before)
-                    before += held
-                    keys, lists, held = [], [], 0
-        if lists:
-            yield flush(before)
+            # Ids of a row whose text goes on in the next part wait for it.
+            waiting, row = [], -1
+            for owners, n, ids in coder.encode(batch.column("text")):
+                if row >= 0 and owners[0] != row:
+                    whole = np.concatenate([*waiting, end])
+                    yield rows(batch.column("doc_id").slice(row, 1), np.array([len(whole)]), whole, before)
+                    before += len(whole)
+                    waiting, row = [], -1
+                if len(owners) == 1:
+                    waiting.append(ids)
+                    row = int(owners[0])
+                    continue
+                # The end id goes in after each row's ids.
+                held = np.insert(ids, np.cumsum(n), end_id).astype(np.int32)
+                yield rows(batch.column("doc_id").slice(int(owners[0]), len(owners)), n + 1, held, before)
+                before += len(held)
+            if row >= 0:
+                whole = np.concatenate([*waiting, end])
+                yield rows(batch.column("doc_id").slice(row, 1), np.array([len(whole)]), whole, before)
+                before += len(whole)
 
     writer = arrow_map(ordered, run, SCHEMA).write.mode("errorifexists")
     writer.option("orc.stripe.size", stripe_bytes).option("orc.row.index.stride", stride).option(
