@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wardline.llm.common import BLOCK_CHARS, ROW_KEY, arrow_map, same_row, with_row_key
+from wardline.llm.arrow_words import Growing, Vocabulary, slices, split_words
+from wardline.llm.common import ROW_KEY, arrow_map, same_row, with_row_key
 from wardline.sources.tables import materialise
 
 WINDOW = 8
@@ -19,7 +23,6 @@ LEAST_WORDS = 13
 # Share of a window's tokens that must be plain words, not placeholders.
 PLAIN_SHARE = 0.6
 BITMAP_BITS = 23
-KNOWN_WORDS = 400_000
 
 # Words that count as numbers and as units.
 NUMBER_WORDS = (
@@ -36,6 +39,8 @@ UNIT_WORDS = (
 NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
 QUANTITY = re.compile(r"[$€£]?\d[\d.,]*(?:[a-z]{1,3}|%|°[cf]?)?")
 EDGE = re.compile(r"^[^\w$€£+-]+|[^\w%°]+$")
+MARKS = "!\"#&'()*,./:;<=>?@[\\]^_`{|}~-«»“”‘’„…¿¡–—"
+SENTENCE_END = r"[.!?…][\"')\]”’»]*$"
 LINE_END = "\x00"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -52,64 +57,73 @@ def core(word: str) -> str:
     return EDGE.sub("", word).lower()
 
 
+_NUMBERS, _UNITS = frozenset(NUMBER_WORDS), frozenset(UNIT_WORDS)
+
+
+def placeholder(core: str) -> int:
+    """The code of the placeholder a word's core stands for; 0 for a plain word."""
+    if core in _NUMBERS:
+        return NUM
+    if core in _UNITS:
+        return UNIT
+    if core.isalpha():
+        return 0
+    return NUM if NUMBER.fullmatch(core) else QTY if QUANTITY.fullmatch(core) else 0
+
+
 class Lexicon:
     """What each word stands for, remembered within bounds.
 
-    ``kind`` has a row each for placeholders, words with a capital, words in capitals throughout,
-    ends of sentences and words without a letter or digit.
+    ``code`` hashes the word's core, or its placeholder; ``kind`` has a column each for placeholders, words with a
+    capital first letter, words in capitals throughout, ends of sentences and words without a letter or digit.
     """
 
     def __init__(self):
-        self.forget()
-
-    def forget(self) -> None:
-        self.of: dict[str, int] = {}
-        self.code = np.zeros(1024, dtype=np.uint64)
-        self.kind = np.zeros((5, 1024), dtype=bool)
-
-    def learn(self, found: set[str]) -> None:
-        if len(self.of) > KNOWN_WORDS:
-            self.forget()
-        for word in found:
-            if word in self.of:
-                continue
-            at = len(self.of)
-            if at == len(self.code):
-                self.code = np.concatenate([self.code, np.zeros(at, dtype=np.uint64)])
-                self.kind = np.concatenate([self.kind, np.zeros((5, at), dtype=bool)], axis=1)
-            plain = core(word)
-            self.of[word] = at
-            slot = True
-            if NUMBER.fullmatch(plain) or plain in _NUMBERS:
-                self.code[at] = NUM
-            elif QUANTITY.fullmatch(plain):
-                self.code[at] = QTY
-            elif plain in _UNITS:
-                self.code[at] = UNIT
-            else:
-                slot = False
-                self.code[at] = _code(plain)
-            first = next((c for c in word if c.isalnum()), "")
-            ends = word == LINE_END or word.rstrip("\"')]”’»").endswith((".", "!", "?", "…"))
-            self.kind[:, at] = (slot, not slot and first.isupper(), word.isupper(), ends, not any(map(str.isalnum, plain)))
-
-    def read(self, words: list[str], starts: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
-        """Codes and placeholder flags of the tokens, the words they are, and whether a sentence starts next.
-
-        A capitalised word is a name unless it begins a sentence or stands in a run of words in capitals.
-        """
-        self.learn(set(words))
-        at = np.fromiter(map(self.of.__getitem__, words), dtype=np.int64, count=len(words))
-        slot, capital, loud, ends, no_token = self.kind[:, at]
-        begins = np.concatenate([[starts], ends[:-1]])
-        beside = np.concatenate([[False], loud[:-1]]) | np.concatenate([loud[1:], [False]])
-        name = capital & ~begins & ~(loud & beside)
-        kept = np.flatnonzero(~no_token)
-        code = np.where(name, np.uint64(NAME), self.code[at])
-        return code[kept], (slot | name)[kept], kept, bool(ends[-1])
-
-
-_NUMBERS, _UNITS = frozenset(NUMBER_WORDS), frozenset(UNIT_WORDS)
+        self.cores = Vocabulary(self._learn_cores, self._forget_cores)
+        self.words = Vocabulary(self._learn, self._forget)
+        self._forget_cores()
+        self._forget()
+
+    def _forget_cores(self) -> None:
+        self.core_code, self.core_slot = Growing(np.uint64), Growing(bool)
+
+    def _forget(self) -> None:
+        self.code = Growing(np.uint64)
+        self.kind = [Growing(bool) for _ in range(5)]
+
+    def _learn_cores(self, cores: pa.Array) -> None:
+        codes, slots = [], []
+        for core in cores.to_pylist():
+            code = placeholder(core)
+            codes.append(code or _code(core))
+            slots.append(code != 0)
+        self.core_code.extend(np.array(codes, dtype=np.uint64))
+        self.core_slot.extend(slots)
+
+    def _learn(self, words: pa.Array) -> None:
+        bare = pc.utf8_trim(words, MARKS)
+        simple = pc.utf8_is_alpha(bare)
+        cores = pc.utf8_lower(bare)
+        if not pc.all(simple).as_py():
+            others = [core(w) for w in words.filter(pc.invert(simple)).to_pylist()]
+            cores = pc.replace_with_mask(cores, pc.invert(simple), pa.array(others, pa.string()))
+        number = self.cores.numbers(cores)
+        slot = self.core_slot.values[number]
+        first = pc.utf8_slice_codeunits(pc.utf8_ltrim(words, MARKS), 0, 1)
+        kinds = (
+            slot,
+            ~slot & _flags(pc.utf8_is_upper(first)),
+            _flags(pc.utf8_is_upper(words)),
+            _flags(pc.or_(pc.match_substring_regex(words, SENTENCE_END), pc.equal(words, LINE_END))),
+            ~_flags(pc.match_substring_regex(cores, r"[\pL\pN]")),
+        )
+        self.code.extend(self.core_code.values[number])
+        for held, new in zip(self.kind, kinds):
+            held.extend(new)
+
+
+def _flags(values: pa.Array) -> np.ndarray:
+    return pc.fill_null(values, False).to_numpy(zero_copy_only=False)
 
 
 @lru_cache(maxsize=1)
@@ -117,14 +131,52 @@ def lexicon() -> Lexicon:
     return Lexicon()
 
 
-def _blocks(text: str):
-    at = 0
-    while at < len(text):
-        stop = min(len(text), at + BLOCK_CHARS)
-        while stop < len(text) and not text[stop].isspace():
-            stop += 1
-        yield text[at:stop].replace("\n", f" {LINE_END} ").split()
-        at = stop
+@dataclass
+class Tokens:
+    """Tokens of a slice of texts: their row, place in the row's text, code, placeholder flag and word."""
+
+    row: np.ndarray
+    place: np.ndarray
+    code: np.ndarray
+    slot: np.ndarray
+    at: np.ndarray
+    words: pa.Array
+
+    def word(self, k: int, before: Tokens | None) -> str:
+        """The word of token ``k`` counted from the carried ones on."""
+        held = len(before.row) if before else 0
+        return before.words[int(before.at[k])].as_py() if k < held else self.words[int(self.at[k - held])].as_py()
+
+
+def read_tokens(texts: pa.Array) -> Iterator[Tokens]:
+    """Tokens of a column of texts, in slices; a long text comes in several.
+
+    A capitalised word is a name unless it begins a sentence, a line or a text, or stands in a run of words in
+    capitals.
+    """
+    book = lexicon()
+    last, tokens, ended = -1, 0, True
+    for part in slices(texts):
+        spaced = pc.replace_substring_regex(part.texts, "[\t\v\f\r]", " ")
+        words, at = split_words(pc.replace_substring(spaced, "\n", f" {LINE_END} "))
+        number = book.words.numbers(words)
+        slot, capital, loud, ends, no_token = (k.values[number] for k in book.kind)
+        begins = np.concatenate([[True], ends[:-1]])
+        begins[at[:-1]] = True
+        goes_on = int(part.owners[0]) == last
+        if goes_on:
+            begins[0] = ended
+        beside = np.concatenate([[False], loud[:-1]]) | np.concatenate([loud[1:], [False]])
+        name = capital & ~begins & ~(loud & beside)
+        kept = np.flatnonzero(~no_token)
+        row = np.repeat(part.owners, at[1:] - at[:-1])[kept]
+        upto = np.concatenate([[0], np.cumsum(~no_token)])
+        place = np.arange(len(kept)) - np.repeat(upto[at[:-1]], upto[at[1:]] - upto[at[:-1]])
+        if goes_on:
+            place = place + tokens
+        last, tokens, ended = int(part.owners[-1]), int(place[-1]) + 1 if len(place) else (tokens if goes_on else 0), bool(ends[-1])
+        code = np.where(name, np.uint64(NAME), book.code.values[number])[kept]
+        yield Tokens(row, place, code, (slot | name)[kept], kept, words)
 
 
 def _passes(hashes: np.ndarray, bitmap: np.ndarray | None) -> np.ndarray:
@@ -134,47 +186,49 @@ def _passes(hashes: np.ndarray, bitmap: np.ndarray | None) -> np.ndarray:
     return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def windows(text: str | None, lengths: tuple[int, ...], bitmap: np.ndarray | None = None):
-    """``(length, position, hash, slot values)`` of a text's template windows, whole text, in blocks.
+def windows(texts: pa.Array, lengths: tuple[int, ...], bitmap: np.ndarray | None = None):
+    """``(row, length, position, hash, slot values, their places)`` of template windows, of whole texts.
 
     Numbers, quantities, units and capitalised words inside sentences become typed placeholders; the
     rest is lower-cased and freed of marks at its ends. Windows with too few plain words are left out,
     and with a bitmap all that it excludes.
     """
-    book = lexicon()
-    held_code = np.zeros(0, dtype=np.uint64)
-    held_slot = np.zeros(0, dtype=bool)
-    held_words: list[str] = []
-    base, starts, longest = 0, True, max(lengths)
-    for words in _blocks(text or ""):
-        if not words:
-            continue
-        code, slot, kept, starts = book.read(words, starts)
-        fresh = len(held_code)
-        code, slot = np.concatenate([held_code, code]), np.concatenate([held_slot, slot])
-        raw = held_words + [words[k] for k in kept]
+    before: Tokens | None = None
+    for now in read_tokens(texts):
+        if before is not None and len(now.row) and before.row[-1] != now.row[0]:
+            before = None
+        held = len(before.row) if before else 0
+        row, place, code, slot = (
+            np.concatenate([getattr(before, f), getattr(now, f)]) if held else getattr(now, f)
+            for f in ("row", "place", "code", "slot")
+        )
         plain = np.concatenate([[0], np.cumsum(~slot)])
         for length in lengths:
-            n = len(code) - length + 1
             # Windows that lie in what was carried over have been seen.
-            first = max(0, fresh - length + 1)
+            first = max(0, held - length + 1)
+            n = len(code) - length + 1
             if n <= first:
                 continue
             value = np.zeros(n - first, dtype=np.uint64)
             for k in range(length):
-                value = value * _BASE + code[first + k : n + k]
+                value *= _BASE
+                value += code[first + k : n + k]
             value = (value ^ (value >> np.uint64(29))) * _MIX + np.uint64(length)
             value ^= value >> np.uint64(32)
-            enough = plain[first + length : n + length] - plain[first:n] >= PLAIN_SHARE * length
-            for k in np.flatnonzero(enough & _passes(value, bitmap)):
+            wanted = plain[first + length : n + length] - plain[first:n] >= PLAIN_SHARE * length
+            wanted &= row[first:n] == row[first + length - 1 : n + length - 1]
+            wanted &= _passes(value, bitmap)
+            for k in np.flatnonzero(wanted):
                 at = first + int(k)
-                slots = [core(raw[i]) for i in range(at, at + length) if slot[i]]
-                places = [i - at for i in range(at, at + length) if slot[i]]
-                yield length, base + at, int(value[k : k + 1].view(np.int64)[0]), slots, places
-        keep = min(len(code), longest - 1)
-        base += len(code) - keep
-        held_code, held_slot = code[len(code) - keep :], slot[len(slot) - keep :]
-        held_words = raw[len(raw) - keep :]
+                places = np.flatnonzero(slot[at : at + length]).tolist()
+                slots = [core(now.word(at + i, before)) for i in places]
+                yield int(row[at]), length, int(place[at]), int(value[k : k + 1].view(np.int64)[0]), slots, places
+        keep = min(len(code), max(lengths) - 1)
+        if keep:
+            carried = [now.word(len(code) - keep + i, before) for i in range(keep)]
+            before = Tokens(row[-keep:], place[-keep:], code[-keep:], slot[-keep:], np.arange(keep), pa.array(carried, pa.string()))
+        else:
+            before = None
 
 
 WINDOW_COLUMNS = "length int, position bigint, hash bigint, slots array<string>, places array<int>"
@@ -194,27 +248,24 @@ def _window_rows(carried: list[str], lengths: tuple[int, ...], bitmap):
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
                 return pa.RecordBatch.from_arrays(list(taken.columns) + columns, names=carried + names)
 
-            for i, text in enumerate(batch.column("text")):
-                for row in windows(text.as_py(), lengths, bits):
-                    owners.append(i)
-                    rows.append(row)
-                    if len(rows) >= 50_000:
-                        yield flush()
-                        owners, rows = [], []
+            for owner, *found in windows(batch.column("text"), lengths, bits):
+                owners.append(owner)
+                rows.append(found)
+                if len(rows) >= 50_000:
+                    yield flush()
+                    owners, rows = [], []
             if rows:
                 yield flush()
 
     return run
 
 
-def token_count(text: str | None) -> int:
-    return sum(1 for block in _blocks(text or "") for w in block if any(map(str.isalnum, core(w))))
-
-
 def _with_tokens(batches):
     for batch in batches:
-        n = [token_count(t.as_py()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays(list(batch.columns) + [pa.array(n, pa.int32())], names=["item_id", "text", "tokens"])
+        counts = np.zeros(batch.num_rows, dtype=np.int32)
+        for tokens in read_tokens(batch.column("text")):
+            np.add.at(counts, tokens.row, 1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts)], names=["item_id", "text", "tokens"])
 
 
 def contaminated(
