@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 16 << 20
-KNOWN_WORDS = 500_000
+SLICE_BYTES = 6 << 20
+KNOWN_WORDS = 300_000
 # Besides white space, characters that some pattern engines take for it.
 DOUBTFUL = "\x1c\x1d\x1e\x1f\x85\u180e\u200b\ufeff"
 
@@ -59,6 +59,8 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[Slice]:
             held += length[stop]
             stop += 1
         yield Slice(np.arange(at, stop), texts.slice(at, stop - at))
+        # What the last slice used goes back, so that a worker's memory is one slice's.
+        pa.default_memory_pool().release_unused()
         at = stop
 
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from wardline.llm.arrow_words import Growing, Vocabulary, slices, split_words, spread, sums
 
 # Strings a task remembers before it starts afresh, and characters of a batch for the library.
-KNOWN_PARTS = 1_000_000
+KNOWN_PARTS = 500_000
 BATCH_CHARS = 1 << 20
 # Letters and then ASCII marks but the apostrophe, which begins contractions.
 SIMPLE = r"(?P<letters>[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
