@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wardline.llm.common import ranked, small_rows, text_key
 from wardline.sources.tables import materialise
 
-ROUNDS = 6
+ROUNDS = 12
 # Bytes a document costs besides its text.
 OVERHEAD = 16
 
@@ -21,7 +21,7 @@ def _propagate(cells: DataFrame, single: list[int], shards: int, rounds: int) ->
     """Moves cells of linked groups towards their groups' shards, under quotas.
 
     A cell is the part of a group that began in one shard. In a round each cell asks for the shard
-    that holds most of its group and has room. A shard's room is its even share of all documents less
+    that holds most of its group and has room, or for the roomiest where none of its group's has. A shard's room is its even share of all documents less
     the linked ones it holds; where more ask than fit, a cell is let in when a hash of it falls
     below room over demand. Unlinked documents do not count: they cut no link wherever they go.
     Only lists with one number per shard reach the driver. A window holds one group's cells, of
@@ -36,9 +36,17 @@ def _propagate(cells: DataFrame, single: list[int], shards: int, rounds: int) ->
         held = cells.withColumn("_held", F.sum("n").over(Window.partitionBy("group", "group_sum", "shard")))
         here = F.struct("_held", F.xxhash64("group", "shard").alias("_tie"), "shard")
         roomy = F.when(_by_shard(room, F.col("shard")) > 0, here)
-        asked = held.withColumn("_best", F.max(roomy).over(Window.partitionBy("group", "group_sum"))).withColumn(
+        group = Window.partitionBy("group", "group_sum")
+        widest = max(range(shards), key=lambda s: room[s])
+        stuck = F.col("_best").isNull() & (F.min("shard").over(group) < F.max("shard").over(group))
+        size = F.sum("n").over(group)
+        # A larger part moves to a smaller one only where the whole group then has room.
+        gains = (F.col("_best") > here) | (_by_shard(room, F.col("_best.shard")) >= size - F.col("_best._held"))
+        asked = held.withColumn("_best", F.max(roomy).over(group)).withColumn(
             "_want",
-            F.when((F.col("_best") > here) & (F.col("_best.shard") != F.col("shard")), F.col("_best.shard")),
+            F.when(gains & (F.col("_best.shard") != F.col("shard")), F.col("_best.shard")).when(
+                stuck & (size <= room[widest]), F.lit(widest)
+            ),
         )
         asked = materialise(asked.select(*cells.columns, "_want"), "asked")
         wanted = small_rows(
