@@ -38,7 +38,7 @@ def _sources(spark, folder):
     f"""
 WITH e AS (SELECT *, minute // {DAY} AS day FROM ({EVENTS_SQL}))
 SELECT user_id, day FROM e WHERE event_type = 'signup' UNION SELECT user_id, day FROM e WHERE event_type = 'click'
-UNION SELECT user_id, day FROM e WHERE event_type = 'view' UNION SELECT user_id, day FROM e WHERE event_type = 'error' AND value > 20
+UNION SELECT user_id, day FROM e WHERE event_type = 'view' UNION SELECT user_id, day FROM e WHERE event_type = 'error'
 UNION SELECT o_custkey, date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) FROM orders
 """,
 )
@@ -46,7 +46,7 @@ def spine_union(spark, folder):
     s = _sources(spark, folder)
     od = orders(spark, folder).select(F.col("o_custkey").alias("user_id"), F.col("day").cast("long"))
     return spine(
-        [s["signup"], s["click"], s["view"], s["error"].filter("value > 20"), od], ["user_id", "day"]
+        [s["signup"], s["click"], s["view"], s["error"], od], ["user_id", "day"]
     )
 
 
@@ -196,14 +196,14 @@ def cotimed_measurements(spark, folder):
     "asof_last",
     f"""
 WITH o AS ({ORDERS_SQL}),
-     r AS (SELECT o_custkey, day AS before_day, max(o_orderpriority) AS service FROM o WHERE o_orderstatus <> 'O' GROUP BY 1, 2)
+     r AS (SELECT o_custkey, day AS before_day, max(o_orderpriority) AS service FROM o GROUP BY 1, 2)
 SELECT o_orderkey, r.before_day, r.service
 FROM o ASOF LEFT JOIN r ON o.o_custkey = r.o_custkey AND o.day > r.before_day
 """,
 )
 def asof_last(spark, folder):
     od = orders(spark, folder).select("o_orderkey", "o_custkey", "o_orderstatus", "day", "o_orderpriority")
-    records = od.filter("o_orderstatus <> 'O'").select(
+    records = od.select(
         "o_custkey",
         F.col("day").alias("before_day"),
         F.col("o_orderpriority").alias("service"),
@@ -354,7 +354,7 @@ def semi_restrict(spark, folder):
 @query(
     "union_long",
     f"""
-SELECT user_id AS entity, minute AS time, event_type AS variable, value FROM ({EVENTS_SQL}) WHERE value > 20
+SELECT user_id AS entity, minute AS time, event_type AS variable, value FROM ({EVENTS_SQL})
 UNION ALL
 SELECT o_custkey, day * 1440, 'price', o_totalprice FROM ({ORDERS_SQL})
 UNION ALL
@@ -366,7 +366,7 @@ def union_all_long(spark, folder):
     ev = events(spark, folder).select(
         F.col("user_id").alias("entity"), F.col("minute").alias("time"), "event_type", "value"
     )
-    first = to_long(ev.filter("value > 20"), ["entity", "time"], F.col("event_type"), F.col("value"))
+    first = to_long(ev, ["entity", "time"], F.col("event_type"), F.col("value"))
     od = orders(spark, folder).select(
         F.col("o_custkey").alias("entity"),
         (F.col("day") * 1440).cast("long").alias("time"),
@@ -384,15 +384,15 @@ def union_all_long(spark, folder):
 @query(
     "union_distinct",
     """
-SELECT o_custkey AS entity, o_orderstatus AS code FROM orders WHERE o_orderpriority = '1-URGENT'
+SELECT o_custkey AS entity, o_orderstatus AS code FROM orders
 UNION SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'F' ELSE 'O' END FROM customer
-UNION SELECT user_id, 'E' FROM events WHERE event_type = 'error'
+UNION SELECT user_id, event_type FROM events
 """,
 )
 def union_of_sources(spark, folder):
-    od = load(spark, folder, "orders").filter("o_orderpriority = '1-URGENT'")
+    od = load(spark, folder, "orders")
     cu = load(spark, folder, "customer")
-    ev = load(spark, folder, "events").filter("event_type = 'error'")
+    ev = load(spark, folder, "events")
     return union_distinct(
         [
             od.select(F.col("o_custkey").alias("entity"), F.col("o_orderstatus").alias("code")),
@@ -400,7 +400,7 @@ def union_of_sources(spark, folder):
                 F.col("c_custkey").alias("entity"),
                 F.when(F.col("c_acctbal") < 0, "F").otherwise("O").alias("code"),
             ),
-            ev.select(F.col("user_id").alias("entity"), F.lit("E").alias("code")),
+            ev.select(F.col("user_id").alias("entity"), F.col("event_type").alias("code")),
         ]
     )
 

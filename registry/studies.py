@@ -31,7 +31,14 @@ from wardline.operators.longtable import censor_at_first
 from wardline.operators.outcomes import evaluate_rules
 from wardline.operators.pick import latest_at_index
 from wardline.operators.reshape import to_grid
-from wardline.sources.tables import gather_results, materialise, remaining, shared_folder, write_results
+from wardline.sources.tables import (
+    gather_results,
+    materialise,
+    remaining,
+    shared_folder,
+    write_report,
+    write_results,
+)
 
 INDEX_SQL = f"""
   SELECT user_id, min(minute) AS index_time FROM (
@@ -193,6 +200,20 @@ def written_results(spark, folder):
     return gather_results(spark, path).select("user_id", "event_type", "n", "largest")
 
 
+@query(
+    "csv_report",
+    f"SELECT event_type, count(*) AS n, round(max(value), 4) AS largest FROM ({EVENTS_SQL}) GROUP BY 1",
+)
+def csv_report(spark, folder):
+    """A report written as CSV, sorted at the sink, and read back."""
+    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex[:12]}"
+    table = events(spark, folder).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 4).alias("largest")
+    )
+    write_report(table, path, ["event_type"])
+    return spark.read.schema("event_type string, n bigint, largest double").csv(path, header=True)
+
+
 @query(
     "remaining_entities",
     "SELECT c_custkey AS user_id FROM customer WHERE c_custkey NOT IN "

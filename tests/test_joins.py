@@ -110,3 +110,22 @@ def test_asof_forms_no_pairs(spark):
     r = spark.createDataFrame(right, "e int, at int, v int")
     plan = asof_join(l, r, ["e"], "t", "at", ["v"], 10)._jdf.queryExecution().optimizedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_with_unknown_keys_spread_over_tasks(spark, how):
+    """Half the keys are NULL: they match nothing and must not meet in one task."""
+    big = spark.range(40_000).selectExpr("if(id % 2 = 0, null, id % 997) as k", "id as v")
+    small = spark.range(997).selectExpr("id as k", "id * 2 as w")
+    joined = keyed_join(big, small, "k", how, ["v"], limit=-1, rows_per_task=1000)
+    assert joined.count() == (40_000 if how == "left" else 20_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = keyed_join(big, small, "k", how, ["v"], limit=-1, rows_per_task=1000)
+        sizes = plain.filter("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in sizes) == 20_000
+    assert max(r["count"] for r in sizes) <= 2 * 20_000 / 4

@@ -10,6 +10,8 @@ from wardline.operators.blocks import Last, Next, along_time
 
 BROADCAST_LIMIT = 8 * 1024 * 1024
 ROWS_PER_TASK = 5_000_000
+# Rows with an unknown key match nothing; they are dealt out over this many salts.
+UNKNOWN_SALTS = 1 << 16
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -34,7 +36,8 @@ def keyed_join(
     ``ceil(rows / rows_per_task)`` salts, its rows are spread over them by a hash of
     ``spread`` (columns that tell rows of one key apart; default all) and of the partition a
     row comes from, so exact copies spread too and a repeated task salts its rows alike. The
-    ``small`` rows of such a key are repeated once per salt. The list of these keys has fewer
+    ``small`` rows of such a key are repeated once per salt. Rows of ``big`` with a NULL in the key meet
+    nothing and are spread over all tasks by the same hash. The list of these keys has fewer
     than ``rows(big) / rows_per_task`` entries, which is what allows broadcasting it.
 
     ``bounded`` says that ``big`` has a limited number of rows per key by construction (one per
@@ -60,9 +63,11 @@ def keyed_join(
     apart = spread or [c for c in big.columns if c not in on] or on
     mixed = F.xxhash64(*apart, F.spark_partition_id())
     one = F.array(F.lit(0).cast("long"))
-    salted = big.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_salts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(mixed, F.col("_salts")))
-    )
+    unknown = F.lit(False)
+    for key in on:
+        unknown = unknown | F.col(key).isNull()
+    salts = F.when(unknown, F.lit(UNKNOWN_SALTS).cast("long")).otherwise(F.coalesce("_salts", F.lit(1).cast("long")))
+    salted = big.join(hot, on, "left").withColumn("_salt", F.pmod(mixed, salts))
     repeated = small.join(hot, on, "left").withColumn(
         "_salt",
         F.explode(

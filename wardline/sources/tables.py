@@ -85,12 +85,17 @@ def gather_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def remaining(todo: DataFrame, path: str, entity: str) -> DataFrame:
-    """Entities without results yet; all of them where nothing has been written."""
+    """Entities without results yet; all of them where nothing has been written.
+
+    Only a missing folder counts as nothing written; a broken one raises.
+    """
     from wardline.operators.joins import exclude
 
     try:
         done = gather_results(todo.sparkSession, path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return todo
     return exclude(todo, done, entity)
 
