@@ -3,7 +3,10 @@
 import os
 import sys
 
-import pytest
+# A threaded solve can hang in a process that has forked, as starting the JVM does.
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
+import pytest  # noqa: E402
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
