@@ -144,7 +144,7 @@ def sample_entities(spark, folder):
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS id FROM (SELECT DISTINCT o_orderkey FROM orders)",
 )
 def dense_index(spark, folder):
-    return sample.dense_index(load(spark, folder, "orders"), "o_orderkey", width=1000)
+    return sample.dense_index(load(spark, folder, "orders"), "o_orderkey")
 
 
 @query(

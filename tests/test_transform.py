@@ -104,5 +104,22 @@ def test_sample_does_not_depend_on_partitions(spark):
 
 def test_dense_index(spark):
     df = spark.createDataFrame([(v,) for v in (-5, 3, 3, 900, 1_000_000, 7)], "e bigint")
-    got = {r.e: r.id for r in sample.dense_index(df, "e", width=10).collect()}
+    got = {r.e: r.id for r in sample.dense_index(df, "e").collect()}
     assert got == {-5: 1, 3: 2, 7: 3, 900: 4, 1_000_000: 5}
+
+
+def test_dense_index_of_scattered_ids(spark):
+    """Hashed 64-bit ids: every bucket holds about the same number of them."""
+    df = spark.range(20_000).select(F.xxhash64("id").alias("e"))
+    got = sample.dense_index(df, "e", buckets=100).orderBy("id").collect()
+    assert [r.id for r in got] == list(range(1, 20_001))
+    assert [r.e for r in got] == sorted(r.e for r in got)
+    borders = df.agg(F.percentile_approx("e", [k / 100 for k in range(1, 100)], 1000).alias("b")).first().b
+    sizes = df.groupBy(sample._range_number(F.col("e"), borders).alias("n")).count().collect()
+    assert len(sizes) == 100 and max(r["count"] for r in sizes) < 300
+
+
+def test_dense_index_edges(spark):
+    df = spark.createDataFrame([(None,), (4,), (4,), (2,)], "e bigint")
+    assert {r.e: r.id for r in sample.dense_index(df, "e").collect()} == {None: 1, 2: 2, 4: 3}
+    assert sample.dense_index(df.limit(0), "e").count() == 0

@@ -10,6 +10,8 @@ from wardline.operators.blocks import RunningSum, along_time
 from wardline.operators.joins import keyed_join
 
 ACCURACY = 10_000
+# Parts of a bracket that are ranked apart.
+BLOCKS = 256
 
 
 def exact_quantiles(
@@ -61,16 +63,19 @@ def exact_quantiles(
     below = near.groupBy(*by, "i").agg(
         F.coalesce(F.sum(F.when(F.col("_v") < F.col("from"), F.col("_c"))), F.lit(0)).alias("_below")
     )
-    place = F.coalesce(
-        F.try_divide(F.col("_v") - F.col("from"), F.col("to") - F.col("from")), F.lit(0.0)
-    )
+    # Blocks hold about equally many distinct values, however these are spread: their borders come from a
+    # second sketch, of the bracket. A group that is ranked whole is one block.
     inside = near.filter(F.col("_v") >= F.col("from"))
+    large = inside.filter(F.col("n") > accuracy).groupBy(*by, "i").agg(
+        F.percentile_approx("_v", [k / BLOCKS for k in range(1, BLOCKS)], 10 * BLOCKS).alias("_borders")
+    )
+    bordered = keyed_join(inside, large, [*by, "i"], "left", ["_v"])
     walked = along_time(
-        inside,
+        bordered.withColumn("_place", F.size(F.filter(F.coalesce("_borders", F.array()), lambda b: b <= F.col("_v")))).drop("_borders"),
         [*by, "i"],
         "_v",
         [RunningSum("_upto", "_c")],
-        block=F.floor(place * 256),
+        block=F.col("_place"),
     )
     ranked = keyed_join(walked, below, [*by, "i"], "inner", ["_v"]).withColumn(
         "_upto", F.col("_upto") + F.col("_below")
