@@ -10,8 +10,9 @@ from wardline.operators.blocks import RunningSum, along_time
 from wardline.operators.joins import keyed_join
 
 ACCURACY = 10_000
-# Parts of a bracket that are ranked apart.
-BLOCKS = 256
+# Edges that cut a bracket by rank, and even pieces between two of them.
+INNER = 7
+PIECES = 32
 
 
 def exact_quantiles(
@@ -28,7 +29,8 @@ def exact_quantiles(
     by = list(by)
     probs = [float(p) for p in probabilities]
     slack = 4.0 / accuracy
-    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
+    steps = [slack * (2 * k / (INNER + 1) - 1) for k in range(INNER + 2)]
+    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in steps]
     sketch = df.groupBy(*by).agg(
         F.count(value).alias("n"),
         F.percentile_approx(value, edges, accuracy).alias("_e"),
@@ -43,11 +45,12 @@ def exact_quantiles(
                 F.lit(i).alias("i"),
                 ((F.col("n") - 1) * F.lit(p)).alias("rank"),
                 F.when(whole | F.lit(p - slack <= 0), F.col("_min"))
-                .otherwise(F.col("_e")[2 * i])
+                .otherwise(F.col("_e")[(INNER + 2) * i])
                 .alias("from"),
                 F.when(whole | F.lit(p + slack >= 1), F.col("_max"))
-                .otherwise(F.col("_e")[2 * i + 1])
+                .otherwise(F.col("_e")[(INNER + 2) * i + INNER + 1])
                 .alias("to"),
+                F.slice("_e", (INNER + 2) * i + 2, INNER).alias("inner"),
             )
             for i, p in enumerate(probs)
         ]
@@ -63,15 +66,15 @@ def exact_quantiles(
     below = near.groupBy(*by, "i").agg(
         F.coalesce(F.sum(F.when(F.col("_v") < F.col("from"), F.col("_c"))), F.lit(0)).alias("_below")
     )
-    # Blocks hold about equally many distinct values, however these are spread: their borders come from a
-    # second sketch, of the bracket. A group that is ranked whole is one block.
     inside = near.filter(F.col("_v") >= F.col("from"))
-    large = inside.filter(F.col("n") > accuracy).groupBy(*by, "i").agg(
-        F.percentile_approx("_v", [k / BLOCKS for k in range(1, BLOCKS)], 10 * BLOCKS).alias("_borders")
-    )
-    bordered = keyed_join(inside, large, [*by, "i"], "left", ["_v"])
+    # A block is an even piece of the values between two neighbouring edges. The edges are ranks, so however the
+    # values are spread a block holds no more of them than two edges enclose.
+    part = F.size(F.filter("inner", lambda b: b <= F.col("_v")))
+    low = F.get(F.concat(F.array("from"), "inner"), F.col("_part"))
+    high = F.get(F.concat("inner", F.array("to")), F.col("_part"))
+    place = F.coalesce(F.try_divide(F.col("_v") - low, high - low), F.lit(0.0))
     walked = along_time(
-        bordered.withColumn("_place", F.size(F.filter(F.coalesce("_borders", F.array()), lambda b: b <= F.col("_v")))).drop("_borders"),
+        inside.withColumn("_part", part).withColumn("_place", F.col("_part") * PIECES + F.floor(place * (PIECES - 1))).drop("inner", "_part"),
         [*by, "i"],
         "_v",
         [RunningSum("_upto", "_c")],
