@@ -118,3 +118,12 @@ def test_code_sets_match_exactly(frame):
     got = {r.h: (r.obese, r.family) for r in
            pick.code_set_flags(df, ["h"], "c", {"obese": ["E660%", "E661"]}, {"family": ["E66"]}).collect()}
     assert got == {1: (0, 1), 2: (1, 1)}
+
+
+def test_cumulative_states_count_unknown_ends(frame, rows):
+    """An entity without a known end stays in the rest; one with another end does too."""
+    df = frame([(1, "IMV"), (3, "DC"), (None, None), (None, "DC"), (3, "other")], "t int, ev string")
+    got = state.cumulative_states(df, "t", "ev", ["IMV", "DC"], 7, "rest")
+    assert rows(got, "t", "state", "n") == [
+        (1, "DC", 0), (1, "IMV", 1), (1, "rest", 4), (3, "DC", 1), (3, "IMV", 1), (3, "rest", 3),
+    ]

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardline.operators.blocks import Last, RunningSum, Whole, along_time
+from wardline.operators.blocks import Last, RunningSum, along_time
 
 
 def lookback(
@@ -115,7 +115,7 @@ def cumulative_states(
 
     ``df`` has one row per entity with the time and name of its end. Entities are counted
     per time first; the running totals then walk those counts in blocks. ``rest`` is the
-    state of everyone without an event so far.
+    state of everyone without an event so far, those whose end is not known included.
     """
     per_time = df.groupBy(time).agg(
         F.count(F.lit(1)).alias("_all"),
@@ -128,10 +128,10 @@ def cumulative_states(
         per_time,
         [],
         time,
-        [RunningSum(f"_c{i}", f"_n{i}") for i in range(len(events))] + [Whole("_total", "_all", "sum")],
+        [RunningSum(f"_c{i}", f"_n{i}") for i in range(len(events))],
         width,
     )
-    left = F.col("_total")
+    left = per_time.agg(F.sum("_all")).scalar()
     for i in range(len(events)):
         left = left - F.col(f"_c{i}")
     cells = [
