@@ -143,6 +143,28 @@ def test_one_of_each_keeps_one_of_each_class(spark, awkward, nothing):
     assert near_copies.one_of_each(nothing).count() == 0
 
 
+def test_crowds_that_share_a_template_lose_no_pair(spark):
+    rng = np.random.default_rng(5)
+    template = [f"t{i}" for i in range(240)]
+
+    def changed(words, at, name):
+        return [f"{name}x{k}" if k in at else w for k, w in enumerate(words)]
+
+    texts = []
+    for k in range(400):
+        # Each has five words of its own, so two of them are about 0.7 alike; a copy of every fourth is 0.8 alike and more.
+        texts.append(changed(template, {int(i) for i in rng.choice(240, 5)}, f"d{k}"))
+        if k % 4 == 0:
+            texts.append(changed(texts[-1], {30, 80, 130, 180, 230}, f"c{k}"))
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [near_copies.shingle_set(t) for _, t in rows]
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j) if near_copies.similarity(sets[i], sets[j]) >= near_copies.SIMILAR]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    root = {r._row_id: r.root for r in near_copies.near_copy_classes(docs).collect()}
+    assert len(pairs) >= 50 and all(root[i] == root[j] for i, j in pairs)
+    assert len(set(root.values())) > 100
+
+
 # 2: licences
 
 

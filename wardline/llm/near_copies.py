@@ -3,7 +3,8 @@
 Sixty-four fingerprint bits at most two apart find copies that differ in case, spacing and a word or
 two of a long text. Texts that share four fifths of their five-word shingles lie three to fourteen
 bits apart, out of the reach of such keys. So this takes the links of ``simhash`` and, besides
-them, candidates that agree in a band of least shingles, checked on the texts themselves.
+them, candidates that agree in a band of least shingles, checked on the texts themselves. Bands that
+many texts share are met by their rarest shingles instead, which loses no pair.
 """
 
 from __future__ import annotations
@@ -21,8 +22,12 @@ from wardline.sources.tables import materialise
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 20, 5
-# Documents of a band that are compared pair by pair; in larger bands each meets three chosen ones.
+# Documents of a band that are compared pair by pair; those of larger bands meet by their rarest shingles.
 PAIRED = 12
+# Counters that say how rare a shingle is among the documents of large bands.
+RARITY_BITS = 20
+# Documents with one rare shingle in a cell of the grid that compares them.
+CELL = 256
 
 _MULTIPLY = np.random.default_rng(20240501).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -79,12 +84,48 @@ def _similar(batches):
         yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
 
 
-def candidates(prints: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of ``plain`` that share a band; ``prints`` has distinct ``plain`` and its ``bands``.
+def _rarity(batches):
+    counts = np.zeros(1 << RARITY_BITS, dtype=np.int64)
+    for batch in batches:
+        for value in batch.column("text"):
+            np.add.at(counts, _counter(shingle_set(value.as_py())), 1)
+    places = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(counts[places])], names=["place", "n"])
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The rarest of a text's shingles, so many that any set ``SIMILAR`` to it has one of them among its own rarest."""
+    most = min(len(shingles), int(len(shingles) * (1 - SIMILAR) + 1e-6) + 1)
+    return shingles[np.lexsort((shingles, counts[_counter(shingles)]))[:most]]
+
 
-    Bands of up to ``PAIRED`` documents give their pairs. In a larger one each document is paired with
-    three of it: the one that shares bands with most documents, as the original of many copies does, and
-    two that the hash picks, others in each band.
+def _rare_rows(shared):
+    def run(batches):
+        counts = np.frombuffer(shared.value, dtype=np.int64)
+        for batch in batches:
+            for plain, value in zip(batch.column("plain").to_pylist(), batch.column("text")):
+                shingles = shingle_set(value.as_py())
+                rare = rarest(shingles, counts).view(np.int64)
+                sizes = np.full(len(rare), len(shingles), dtype=np.int32)
+                owner = np.full(len(rare), plain, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(owner), pa.array(sizes), pa.array(rare)], names=["plain", "size", "shingle"]
+                )
+
+    return run
+
+
+def candidates(prints: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs ``(a, b)`` of ``plain`` that share a band, and the ``plain`` of large bands, if any.
+
+    ``prints`` has distinct ``plain`` and its ``bands``. Bands of up to ``PAIRED`` documents give their
+    pairs. In a larger one each document is paired with three of it at first: the one that shares bands with
+    most documents, as the original of many copies does, and two that the hash picks, others in each
+    band. These join most of a group of copies; ``crowded_pairs`` gives the pairs they leave.
     """
     keys = materialise(prints.select("plain", F.posexplode("bands").alias("band", "key")), "band-keys")
     shared = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -100,7 +141,7 @@ def candidates(prints: DataFrame) -> DataFrame:
     ).select("p.a", "p.b")
     crowd = held.filter(F.col("n") > PAIRED)
     if crowd.isEmpty():
-        return pairs.distinct()
+        return pairs.distinct(), None
     crowd = materialise(crowd, "crowded-bands")
     score = crowd.groupBy("plain").agg(F.sum("n").alias("score"))
     draw = F.xxhash64("plain", "band")
@@ -111,14 +152,61 @@ def candidates(prints: DataFrame) -> DataFrame:
     )
     met = crowd.join(chosen, ["band", "key"]).select("plain", F.explode(F.array("p0", "p1", "p2")).alias("p"))
     through = met.filter("plain <> p").select(F.least("plain", "p").alias("a"), F.greatest("plain", "p").alias("b"))
-    return pairs.union(through).distinct()
+    return pairs.union(through).distinct(), crowd.select("plain").distinct()
+
+
+def crowded_pairs(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of ``plain`` of different ``roots`` that may be ``SIMILAR``; none that is gets lost.
+
+    ``texts`` has ``plain`` and ``text``, ``roots`` the ``node`` and ``root`` of those linked already. All
+    shingles are put in one order, the rarest first as far as ``2 ** RARITY_BITS`` counters tell; similar sets
+    then share one of their first fifths, whatever the counters hold. A shingle that only texts of one root
+    have there gives no pair; elsewhere the texts outside its most frequent root meet all of it, in a grid of cells
+    of about ``CELL`` texts a side. So a group of copies that is joined already adds nothing.
+    """
+    spark = texts.sparkSession
+    counts = np.zeros(1 << RARITY_BITS, dtype=np.int64)
+    found = arrow_map(texts.select("text"), _rarity, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    found = found.toPandas()
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(counts.tobytes())
+    rare = arrow_map(texts.select("plain", "text"), _rare_rows(shared), "plain bigint, size int, shingle bigint")
+    rooted = rare.join(roots.withColumnRenamed("node", "plain"), "plain", "left")
+    rare = materialise(rooted.withColumn("root", F.coalesce("root", "plain")), "rare-shingles")
+    by_root = rare.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("n"))
+    crowds = by_root.groupBy("shingle").agg(
+        F.max_by("root", F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")
+    )
+    crowds = crowds.filter("roots > 1").select("shingle", "most", F.ceil(F.col("n") / CELL).cast("int").alias("cells"))
+    held = materialise(rare.join(crowds, "shingle"), "shared-rare-shingles")
+    own, every = F.pmod(F.xxhash64("plain"), F.col("cells")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    one = held.filter("root <> most").select(
+        "shingle", F.col("plain").alias("_p"), F.col("size").alias("_s"), F.col("root").alias("_r"),
+        own.alias("_i"), every.alias("_j"),
+    )
+    other = held.select(
+        "shingle", F.col("plain").alias("_q"), F.col("size").alias("_t"), F.col("root").alias("_u"),
+        every.alias("_i"), own.alias("_j"),
+    )
+    long_enough = F.least("_s", "_t") + F.lit(1e-6) >= F.greatest("_s", "_t") * F.lit(SIMILAR)
+    met = one.join(other, ["shingle", "_i", "_j"]).filter((F.col("_r") != F.col("_u")) & long_enough)
+    return met.select(F.least("_p", "_q").alias("a"), F.greatest("_p", "_q").alias("b")).distinct()
+
+
+def alike_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose texts are ``SIMILAR``."""
+    left = texts.select(F.col("plain").alias("a"), F.col("text").alias("one"))
+    right = texts.select(F.col("plain").alias("b"), F.col("text").alias("other"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "one", "other")
+    return arrow_map(both, _similar, "a bigint, b bigint")
 
 
 def near_copy_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``ROW_KEY`` and ``root`` of every document; near copies have one ``root``.
 
     Two documents are linked when their fingerprints are at most two bits apart or their sets of
-    five-word shingles are at least four fifths alike; classes are connected components. Texts that differ in case
+    five-word shingles are at least four fifths alike; classes are connected components. Bands find a pair of small ones
+    with a probability of 0.9996 at a similarity of 0.8, large ones lose none. Texts that differ in case
     and spacing only are one text. Documents without words are alike.
     """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -142,17 +230,18 @@ def near_copy_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         close = close.join(first.select(F.col("fingerprint").alias(side), F.col("plain").alias(f"_{side}")), side)
     by_print = by_print.union(close.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
 
-    pairs = materialise(candidates(one), "candidates")
+    pairs, crowd = candidates(one)
+    pairs = materialise(pairs, "candidates")
     ends = pairs.select(F.col("a").alias("plain")).union(pairs.select("b")).distinct()
     rows = one.select("plain", "row.*").join(ends, "plain")
     texts = keyed.join(rows, same_row(keyed, rows)).select("plain", "text")
     texts = materialise(texts.groupBy("plain").agg(F.any_value("text").alias("text")), "candidate-texts")
-    left = texts.select(F.col("plain").alias("a"), F.col("text").alias("one"))
-    right = texts.select(F.col("plain").alias("b"), F.col("text").alias("other"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "one", "other")
-    alike = arrow_map(both, _similar, "a bigint, b bigint")
-
-    roots = components(by_print.union(alike))
+    roots = components(by_print.union(alike_pairs(pairs, texts)))
+    if crowd is not None:
+        more = materialise(crowded_pairs(texts.join(crowd, "plain", "left_semi"), roots), "crowded-pairs")
+        more = materialise(alike_pairs(more, texts), "crowded-alike")
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     found = prints.select(*ROW_KEY, "plain").join(roots, prints["plain"] == roots["node"], "left")
     return found.select(*ROW_KEY, F.coalesce("root", "plain").alias("root"))
 
