@@ -448,6 +448,20 @@ def test_template_windows_find_other_parameters(spark, passage, changed):
         assert [(r.item_id, r.changed_slots) for r in got] == [(7, changed)]
 
 
+@pytest.mark.parametrize(
+    "item, passage",
+    [
+        (ITEM, ITEM.lower()),
+        (ITEM, re.sub(r"[^\w ]", "", ITEM).lower()),
+        ("We left the house. Anna said no. Then Bob went home. Nobody else had seen them there.", "We left the house Anna said no Then Bob went home Nobody else had seen them there"),
+    ],
+)
+def test_copies_without_case_or_marks_are_found(spark, item, passage):
+    docs = spark.createDataFrame([(1, f"some first words stand here {passage} and some more")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    assert [(r.item_id, r.changed_slots) for r in templates.contaminated(docs, items).collect()] == [(7, 0)]
+
+
 def test_windows_over_block_borders(monkeypatch):
     from wardline.llm import arrow_words
 

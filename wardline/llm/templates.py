@@ -23,6 +23,8 @@ LEAST_WORDS = 13
 # Share of a window's tokens that must be plain words, not placeholders.
 PLAIN_SHARE = 0.6
 BITMAP_BITS = 23
+# Added to the length of exact windows in their hash.
+EXACT = 1 << 16
 
 # Words that count as numbers and as units.
 NUMBER_WORDS = (
@@ -57,6 +59,11 @@ def core(word: str) -> str:
     return EDGE.sub("", word).lower()
 
 
+def exact(core: str) -> int:
+    """The code of a word itself: case and marks make no difference, but a value keeps its marks."""
+    return _code((core if placeholder(core) else "".join(c for c in core if c.isalnum()) or core).casefold())
+
+
 _NUMBERS, _UNITS = frozenset(NUMBER_WORDS), frozenset(UNIT_WORDS)
 
 
@@ -74,7 +81,7 @@ def placeholder(core: str) -> int:
 class Lexicon:
     """What each word stands for, remembered within bounds.
 
-    ``code`` hashes the word's core, or its placeholder; ``kind`` has a column each for placeholders, words with a
+    ``code`` hashes the word's core, or its placeholder, and ``same`` the word itself; ``kind`` has a column each for placeholders, words with a
     capital first letter, words in capitals throughout, ends of sentences and words without a letter or digit.
     """
 
@@ -85,10 +92,10 @@ class Lexicon:
         self._forget()
 
     def _forget_cores(self) -> None:
-        self.core_code, self.core_slot = Growing(np.uint64), Growing(bool)
+        self.core_code, self.core_same, self.core_slot = Growing(np.uint64), Growing(np.uint64), Growing(bool)
 
     def _forget(self) -> None:
-        self.code = Growing(np.uint64)
+        self.code, self.same = Growing(np.uint64), Growing(np.uint64)
         self.kind = [Growing(bool) for _ in range(5)]
 
     def _learn_cores(self, cores: pa.Array) -> None:
@@ -98,6 +105,7 @@ class Lexicon:
             codes.append(code or _code(core))
             slots.append(code != 0)
         self.core_code.extend(np.array(codes, dtype=np.uint64))
+        self.core_same.extend(np.array([exact(core) for core in cores.to_pylist()], dtype=np.uint64))
         self.core_slot.extend(slots)
 
     def _learn(self, words: pa.Array) -> None:
@@ -118,6 +126,7 @@ class Lexicon:
             ~_flags(pc.match_substring_regex(cores, r"[\pL\pN]")),
         )
         self.code.extend(self.core_code.values[number])
+        self.same.extend(self.core_same.values[number])
         for held, new in zip(self.kind, kinds):
             held.extend(new)
 
@@ -133,11 +142,12 @@ def lexicon() -> Lexicon:
 
 @dataclass
 class Tokens:
-    """Tokens of a slice of texts: their row, place in the row's text, code, placeholder flag and word."""
+    """Tokens of a slice of texts: their row, place in the row's text, code, code of the word itself, placeholder flag and word."""
 
     row: np.ndarray
     place: np.ndarray
     code: np.ndarray
+    same: np.ndarray
     slot: np.ndarray
     at: np.ndarray
     words: pa.Array
@@ -176,7 +186,7 @@ def read_tokens(texts: pa.Array) -> Iterator[Tokens]:
             place = place + tokens
         last, tokens, ended = int(part.owners[-1]), int(place[-1]) + 1 if len(place) else (tokens if goes_on else 0), bool(ends[-1])
         code = np.where(name, np.uint64(NAME), book.code.values[number])[kept]
-        yield Tokens(row, place, code, (slot | name)[kept], kept, words)
+        yield Tokens(row, place, code, book.same.values[number][kept], (slot | name)[kept], kept, words)
 
 
 def _passes(hashes: np.ndarray, bitmap: np.ndarray | None) -> np.ndarray:
@@ -186,21 +196,32 @@ def _passes(hashes: np.ndarray, bitmap: np.ndarray | None) -> np.ndarray:
     return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def windows(texts: pa.Array, lengths: tuple[int, ...], bitmap: np.ndarray | None = None):
+def _hashes(code: np.ndarray, first: int, n: int, length: int) -> np.ndarray:
+    """Of the windows from ``first`` to before ``n``; ``EXACT`` in the length sets exact ones apart."""
+    value = np.zeros(n - first, dtype=np.uint64)
+    for k in range(length % EXACT):
+        value *= _BASE
+        value += code[first + k : n + k]
+    value = (value ^ (value >> np.uint64(29))) * _MIX + np.uint64(length)
+    return value ^ (value >> np.uint64(32))
+
+
+def windows(texts: pa.Array, lengths: tuple[int, ...], bitmap: np.ndarray | None = None, also_exact: bool = False):
     """``(row, length, position, hash, slot values, their places)`` of template windows, of whole texts.
 
     Numbers, quantities, units and capitalised words inside sentences become typed placeholders; the
-    rest is lower-cased and freed of marks at its ends. Windows with too few plain words are left out,
-    and with a bitmap all that it excludes.
+    rest is lower-cased and freed of marks at its ends. Template windows with too few plain words are left out.
+    Exact windows, given on demand, hold the words themselves, without case and marks, and have no slots. With a
+    bitmap all that it excludes are left out.
     """
     before: Tokens | None = None
     for now in read_tokens(texts):
         if before is not None and len(now.row) and before.row[-1] != now.row[0]:
             before = None
         held = len(before.row) if before else 0
-        row, place, code, slot = (
+        row, place, code, same, slot = (
             np.concatenate([getattr(before, f), getattr(now, f)]) if held else getattr(now, f)
-            for f in ("row", "place", "code", "slot")
+            for f in ("row", "place", "code", "same", "slot")
         )
         plain = np.concatenate([[0], np.cumsum(~slot)])
         for length in lengths:
@@ -209,24 +230,26 @@ def windows(texts: pa.Array, lengths: tuple[int, ...], bitmap: np.ndarray | None
             n = len(code) - length + 1
             if n <= first:
                 continue
-            value = np.zeros(n - first, dtype=np.uint64)
-            for k in range(length):
-                value *= _BASE
-                value += code[first + k : n + k]
-            value = (value ^ (value >> np.uint64(29))) * _MIX + np.uint64(length)
-            value ^= value >> np.uint64(32)
+            whole = row[first:n] == row[first + length - 1 : n + length - 1]
+            value = _hashes(code, first, n, length)
             wanted = plain[first + length : n + length] - plain[first:n] >= PLAIN_SHARE * length
-            wanted &= row[first:n] == row[first + length - 1 : n + length - 1]
+            wanted &= whole
             wanted &= _passes(value, bitmap)
             for k in np.flatnonzero(wanted):
                 at = first + int(k)
                 places = np.flatnonzero(slot[at : at + length]).tolist()
                 slots = [core(now.word(at + i, before)) for i in places]
                 yield int(row[at]), length, int(place[at]), int(value[k : k + 1].view(np.int64)[0]), slots, places
+            if not also_exact:
+                continue
+            value = _hashes(same, first, n, length + EXACT)
+            for k in np.flatnonzero(whole & _passes(value, bitmap)):
+                at = first + int(k)
+                yield int(row[at]), length, int(place[at]), int(value[k : k + 1].view(np.int64)[0]), [], []
         keep = min(len(code), max(lengths) - 1)
         if keep:
             carried = [now.word(len(code) - keep + i, before) for i in range(keep)]
-            before = Tokens(row[-keep:], place[-keep:], code[-keep:], slot[-keep:], np.arange(keep), pa.array(carried, pa.string()))
+            before = Tokens(row[-keep:], place[-keep:], code[-keep:], same[-keep:], slot[-keep:], np.arange(keep), pa.array(carried, pa.string()))
         else:
             before = None
 
@@ -248,7 +271,7 @@ def _window_rows(carried: list[str], lengths: tuple[int, ...], bitmap):
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
                 return pa.RecordBatch.from_arrays(list(taken.columns) + columns, names=carried + names)
 
-            for owner, *found in windows(batch.column("text"), lengths, bits):
+            for owner, *found in windows(batch.column("text"), lengths, bits, also_exact=True):
                 owners.append(owner)
                 rows.append(found)
                 if len(rows) >= 50_000:
@@ -280,15 +303,15 @@ def contaminated(
 ) -> DataFrame:
     """Documents that hold a benchmark passage: one row per document and item.
 
-    ``ROW_KEY, item_id, matched_words, start_word, changed_slots``. Windows of equal templates are
-    met by a hash join. A passage is a set of windows at one distance between document and item;
+    ``ROW_KEY, item_id, matched_words, start_word, changed_slots``. Windows of equal templates, and such of
+    equal words whatever their case, marks and placeholders, are met by a hash join. A passage is a set of windows at one distance between document and item;
     it counts when it spans ``least_words`` tokens, or all but two of a shorter item,
     and when each slot value of the item stands for one value in the document throughout.
     ``changed_slots`` is 0 for a plain copy and counts the slot values that differ otherwise.
 
     Before the join a bitmap of 2**23 bits, whatever the benchmark's size, drops windows that no item
-    has. Items shorter than a window are searched whole; those with under five tokens, or made of placeholders
-    for the most part, are not. Null and empty texts hold nothing and match nothing; rows that agree in id and text
+    has. Items shorter than a window are searched whole; those with under five tokens are not, and those made of
+    placeholders for the most part as they stand only. Null and empty texts hold nothing and match nothing; rows that agree in id and text
     give one row; an item repeated under one id counts once; empty tables give no rows.
     """
     spark = docs.sparkSession
