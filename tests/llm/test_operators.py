@@ -462,6 +462,15 @@ def test_copies_without_case_or_marks_are_found(spark, item, passage):
     assert [(r.item_id, r.changed_slots) for r in templates.contaminated(docs, items).collect()] == [(7, 0)]
 
 
+def test_passages_dense_in_names_are_found_as_they_stand(spark):
+    item = "In 1815 Napoleon Bonaparte of France lost to Wellington and Blücher at Waterloo in Belgium"
+    other = item.replace("1815", "1914").replace("Waterloo", "Tannenberg")
+    rows = [(i, f"Some first words stand here. {t} and some more.") for i, t in enumerate([item, other])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    assert [(r._row_id, r.matched_words) for r in templates.contaminated(docs, items).collect()] == [(0, 15)]
+
+
 def test_windows_over_block_borders(monkeypatch):
     from wardline.llm import arrow_words
 
