@@ -13,6 +13,7 @@ from wardline.llm.common import (
     append,
     arrow_map,
     fields,
+    same_row,
     with_row_key,
 )
 from wardline.llm.components import components
@@ -152,10 +153,11 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """One row per document: ``ROW_KEY``, ``fingerprint`` (bigint) and ``component_id``.
+    """One row per document: ``ROW_KEY``, ``fingerprint`` (bigint), ``root`` and ``component_id``.
 
     ``component_id`` is the least id reachable over fingerprints at most two bits apart, the
-    document's own included; null where no document of the component has an id. Equal fingerprints meet
+    document's own included; null where no document of the component has an id. ``root`` is the least fingerprint
+    of the component and never null. Equal fingerprints meet
     first, so copies never form pairs. Repeated rows each come back; null and empty texts
     link like any other with the fingerprint 0; an empty table gives no rows. Other columns
     are neither read nor returned, so their names cannot clash.
@@ -169,8 +171,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
     )
     named = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = materialise(joined.join(named, "root").select("fingerprint", "component_id"), "classes")
-    return prints.join(classes, "fingerprint").select(*ROW_KEY, "fingerprint", "component_id")
+    classes = materialise(joined.join(named, "root").select("fingerprint", "root", "component_id"), "classes")
+    return prints.join(classes, "fingerprint").select(*ROW_KEY, "fingerprint", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
+    """One document of each component of ``near_duplicates``, with all its columns.
+
+    The one with the least id stays, of equal ids that with the least text hash; a component without ids keeps its
+    least hash. Rows that agree in id and text are one document, of which one row stays. Null and empty
+    texts and such without words are one component. An empty table stays empty.
+    """
+    classes = materialise(near_duplicates(docs, doc_id, text, words).select(*ROW_KEY, "root"), "copies")
+    order = F.struct(F.col("_row_id").isNull().alias("no_id"), *ROW_KEY)
+    first = classes.groupBy("root").agg(F.min(order).alias("k")).select("k._row_id", "k._text_hash", "k._text_sum")
+    rows = classes.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = first.join(rows, same_row(first, rows)).select(*[first[c] for c in ROW_KEY], "_rows")
+    kept = materialise(kept, "kept")
+    keyed = with_row_key(docs, doc_id, text)
+    once = kept.filter("_rows = 1")
+    out = keyed.join(once, same_row(keyed, once), "left_semi")
+    more = kept.filter("_rows > 1")
+    if not more.isEmpty():
+        out = out.union(keyed.join(more, same_row(keyed, more), "left_semi").dropDuplicates(ROW_KEY))
+    return out.select(*docs.columns)
 
 
 def hex_digits(column: str = "fingerprint"):
