@@ -56,14 +56,16 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def materialise(
+    df: DataFrame, name: str, folder: str | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Writes a step that several later steps read, and reads it back.
 
     The written table cuts the lineage and survives lost executors.
     """
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    write_table(df, path)
+    write_table(df, path, partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
