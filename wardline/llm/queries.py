@@ -1,4 +1,4 @@
-"""The ten operators as queries over their whole tables, with SQL where it can say the same."""
+"""The operators as queries over their whole tables, with SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardline.llm import compression, language, licenses, mixing, sharding, simhash, templates, token_counts, token_files
-from wardline.llm import url_graph
+from wardline.llm import compression, divergence, language, licenses, line_runs, mixing, sharding, simhash, spelling
+from wardline.llm import templates, token_counts, token_files, url_graph
 from wardline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,110 @@ def op9_url_filters(spark, folder):
 def op10_quality_rules(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return compression.with_quality(docs)
+
+
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
+    '{url_graph.CAPITALS}', '{url_graph.SMALL}') AS text FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3
+), langs AS (
+  SELECT lang, sum(n) + count(*) AS size FROM kept GROUP BY 1
+), groups AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+counts AS MATERIALIZED (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM t JOIN kept k USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, g.source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0)
+    + (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS size FROM groups g
+), p AS MATERIALIZED (
+  SELECT lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // s.size AS p,
+    1 + 1000000000::HUGEINT * (k.n + 1) // l.size AS q
+  FROM sizes s JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), result AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM result
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op11_source_divergence", OP11)
+def op11_source_divergence(spark, folder):
+    return divergence.divergence(read(spark, folder, "documents"))
+
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS MATERIALIZED (
+  SELECT r, doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM d
+), k AS MATERIALIZED (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    '{url_graph.CAPITALS}', '{url_graph.SMALL}') AS key FROM l
+), common AS (
+  SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 40 GROUP BY 1 HAVING count(DISTINCT r) >= 5
+), marked AS (
+  SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.owner AS lost FROM k LEFT JOIN common c ON k.key = c.key
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
+
+@query("op12_line_dedup", OP12)
+def op12_line_dedup(spark, folder):
+    found = line_runs.dedup_lines(read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP13 = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i)) AS t
+), runs AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text, '{url_graph.CAPITALS}',
+    '{url_graph.SMALL}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents WHERE text IS NOT NULL
+), counted AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS s, run, count(*) AS n FROM runs GROUP BY ALL
+), summed AS (
+  SELECT run, n, xor(list_reduce(flatten(list_transform(string_split(s, ''), lambda c: CASE WHEN unicode(c) < 128
+    THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, (unicode(c) - 64)::BIGINT] END)),
+    lambda h, x: xor(h >> 8, t[(xor(h, x) & 255) + 1]), 4294967295), 4294967295) AS h FROM counted, crc
+), words AS MATERIALIZED (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run) + 2)::INTEGER)
+    ELSE run END AS word, sum(n)::BIGINT AS n FROM summed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), rests AS MATERIALIZED (
+  SELECT word, n, k, left(word, k - 1) || substr(word, k + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INTEGER AS k FROM words)
+), near AS MATERIALIZED (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM rests a JOIN rests b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT r.word, w.word, w.n FROM rests r JOIN words w ON r.rest = w.word
+  UNION SELECT w.word, r.word, r.n FROM rests r JOIN words w ON r.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, min({{'n': -n, 'other': encode(other)}}) AS b FROM near GROUP BY 1
+), forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.n >= 2 * w.n THEN decode(b.other) END AS form,
+    CASE WHEN -b.n >= 2 * w.n THEN -b.n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, c.root, n, n_near, form_n
+FROM forms f JOIN (SELECT c.word, c.root FROM chain c JOIN forms e ON c.root = e.word WHERE e.form IS NULL) c ON f.word = c.word
+"""
+
+
+@query("op13_spelling_variants", OP13)
+def op13_spelling_variants(spark, folder):
+    return spelling.spelling_groups(read(spark, folder, "documents"))
