@@ -62,6 +62,17 @@ def with_row_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return docs.select("*", F.col(doc_id).alias("_row_id"), *text_key(text))
 
 
+# Rows agree in these exactly where they agree in ROW_KEY; none of them is null.
+PLAIN_KEY = ["_row_none", "_row_text", "_text_hash", "_text_sum"]
+
+
+def with_plain_key(df: DataFrame) -> DataFrame:
+    """Adds to a frame with ``ROW_KEY`` what ``PLAIN_KEY`` needs, for joins that know no null-safe keys."""
+    return df.withColumn("_row_none", F.col("_row_id").isNull()).withColumn(
+        "_row_text", F.coalesce(F.col("_row_id").cast("string"), F.lit(""))
+    )
+
+
 def same_row(left: DataFrame, right: DataFrame) -> Column:
     """Equal row keys; a null id equals a null id."""
     return (

@@ -7,15 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardline.llm.common import ROW_KEY, with_row_key
+from wardline.llm.common import PLAIN_KEY, ROW_KEY, with_plain_key, with_row_key
 from wardline.operators.joins import keyed_join
 from wardline.sources.tables import materialise, shared_folder
 
 SPACE = " \t\n\x0b\x0c\r"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HASH = ["h1", "h2"]
-# Rows agree in these exactly where they agree in ROW_KEY; none of them is null.
-PLAIN_KEY = ["_row_none", "_row_text", "_text_hash", "_text_sum"]
 
 
 def line_key(line: Column) -> Column:
@@ -124,12 +122,6 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _plain_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("_row_none", F.col("_row_id").isNull()).withColumn(
-        "_row_text", F.coalesce(F.col("_row_id").cast("string"), F.lit(""))
-    )
-
-
 def dropped_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = 40, least_docs: int = 5,
     batches: int = 4, fan: int = 2,
@@ -163,11 +155,11 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     rows that share the largest id all keep the line, as do rows without id where no holder has one. Very long
     texts stay in one row. An empty table gives no rows. Columns of these names are replaced.
     """
-    lost = _plain_key(dropped_lines(docs, doc_id, text, **options)).select(*PLAIN_KEY, "dropped")
+    lost = with_plain_key(dropped_lines(docs, doc_id, text, **options)).select(*PLAIN_KEY, "dropped")
     new = ("n_lines", "n_dropped", "kept_text")
     kept = [c for c in docs.columns if c not in new]
     # The array of lines is built below the join, so the functions above it read it and never split again.
-    split = _plain_key(with_row_key(docs, doc_id, text)).select(*kept, *PLAIN_KEY, lines_of(F.col(text)).alias("_lines"))
+    split = with_plain_key(with_row_key(docs, doc_id, text)).select(*kept, *PLAIN_KEY, lines_of(F.col(text)).alias("_lines"))
     joined = keyed_join(split, lost.withColumnRenamed("dropped", "_dropped"), PLAIN_KEY, "left", spread=["_row_text"])
     places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     left = F.when(F.col("_dropped").isNull(), F.col("_lines")).otherwise(

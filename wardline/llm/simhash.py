@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardline.llm import golay
 from wardline.llm.common import (
+    PLAIN_KEY,
     ROW_KEY,
     append,
     arrow_map,
     fields,
-    same_row,
+    with_plain_key,
     with_row_key,
 )
 from wardline.llm.components import components
+from wardline.operators.joins import keyed_join
 from wardline.sources.tables import materialise
 
 # Position and width of the three segments of a fingerprint; each fits a 23-bit code.
@@ -182,18 +184,20 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     least hash. Rows that agree in id and text are one document, of which one row stays. Null and empty
     texts and such without words are one component. An empty table stays empty.
     """
-    classes = materialise(near_duplicates(docs, doc_id, text, words).select(*ROW_KEY, "root"), "copies")
-    order = F.struct(F.col("_row_id").isNull().alias("no_id"), *ROW_KEY)
-    first = classes.groupBy("root").agg(F.min(order).alias("k")).select("k._row_id", "k._text_hash", "k._text_sum")
-    rows = classes.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    kept = first.join(rows, same_row(first, rows)).select(*[first[c] for c in ROW_KEY], "_rows")
-    kept = materialise(kept, "kept")
-    keyed = with_row_key(docs, doc_id, text)
-    once = kept.filter("_rows = 1")
-    out = keyed.join(once, same_row(keyed, once), "left_semi")
-    more = kept.filter("_rows > 1")
-    if not more.isEmpty():
-        out = out.union(keyed.join(more, same_row(keyed, more), "left_semi").dropDuplicates(ROW_KEY))
+    found = near_duplicates(docs, doc_id, text, words).groupBy("root", *ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"))
+    found = materialise(found.transform(with_plain_key), "copies")
+    first = found.groupBy("root").agg(F.min(F.struct("_row_none", *ROW_KEY)).alias("first"))
+    ranked = keyed_join(found, materialise(first, "first-copies"), "root", spread=["_text_hash"])
+    kept = F.struct("_row_none", *ROW_KEY) == F.col("first")
+    # Those that go are joined to the documents, as they are few beside those that stay.
+    lost = materialise(ranked.filter(~F.coalesce(kept, F.lit(False))).select(*PLAIN_KEY), "lost-copies")
+    keyed = with_plain_key(with_row_key(docs, doc_id, text))
+    out = keyed_join(keyed, lost, PLAIN_KEY, "left_anti", spread=["_text_hash"])
+    again = found.filter("_rows > 1").select(*PLAIN_KEY)
+    if not again.isEmpty():
+        again = materialise(again, "repeated-copies")
+        single = keyed_join(out, again, PLAIN_KEY, "left_anti", spread=["_text_hash"])
+        out = single.union(keyed_join(out, again, PLAIN_KEY, "left_semi", spread=["_text_hash"]).dropDuplicates(PLAIN_KEY))
     return out.select(*docs.columns)
 
 
