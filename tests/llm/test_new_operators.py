@@ -135,7 +135,7 @@ def one_edit(a, b):
     return any(long[:k] + long[k + 1 :] == short for k in range(len(long)))
 
 
-@pytest.mark.parametrize("crowded", [64, 2])
+@pytest.mark.parametrize("crowded", [1024, 3])
 def test_near_pairs_are_all_pairs_one_edit_apart(spark, crowded):
     """Also where nearly every bucket is crowded, and for words of two letters only."""
     rng = random.Random(4)

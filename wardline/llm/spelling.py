@@ -17,9 +17,9 @@ from wardline.sources.tables import materialise
 # Letters by how common they are, dealt to the parts in turn; letters beyond a-z by code point.
 LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
 BEYOND = (0xC0, 0xFF)
-PARTS = 7
-# A bucket with more words is met by the words' forms with one letter cut out.
-CROWDED = 64
+PARTS = 6
+# The words of a bucket with more of them meet by what is left without one letter.
+CROWDED = 1024
 DAMAGE = 97
 # A text is read in pieces of about this many characters, cut between words; counts are handed on at this many words.
 PIECE, HELD = 1 << 20, 200_000
@@ -84,79 +84,78 @@ def part_letters(part: int) -> str:
 
 
 def signatures(words: DataFrame) -> DataFrame:
-    """``(signature, i, j, left_i, left_j, word, n)``, one row for each two parts of the alphabet left out.
+    """``(signature, word, n)``, one row for each two parts of the alphabet left out.
 
-    A word stands for the vector that has a one for the k-th occurrence of each letter. One letter put in or taken out
-    changes one place of it and one replaced changes two, so near words differ in at most two parts, and agree in a
-    signature: the sorted letters of all other parts, written out.
+    A word's letters are a vector with a one for the k-th occurrence of each letter. One letter put in or taken out
+    changes one place of it and one replaced changes two, so near words differ in at most two parts of the alphabet and agree
+    in all others for some choice of two. A signature is that choice with the letters of the other
+    parts. They stand in the word's order, which one edit of other letters does not change; so
+    near words still share one, and anagrams no longer do.
     """
-    in_part = words.select(
-        "word", "n",
-        *[
-            F.array_join(F.array_sort(F.split(F.regexp_replace("word", f"[^{part_letters(p)}]", ""), "")), "").alias(f"p{p}")
-            for p in range(PARTS)
-        ],
-    )
-    left_out = [
-        F.struct(
-            F.concat_ws(
-                "|", F.lit(f"{i}{j}"), *[F.col(f"p{p}") for p in range(PARTS) if p not in (i, j)]
-            ).alias("signature"),
-            F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"p{i}").alias("left_i"), F.col(f"p{j}").alias("left_j"),
-        )
+    kept = [
+        F.xxhash64(F.lit(f"{i}{j}"), F.translate("word", part_letters(i) + part_letters(j), ""))
         for i, j in combinations(range(PARTS), 2)
     ]
-    return in_part.select(F.explode(F.array(*left_out)).alias("s"), "word", "n").select("s.*", "word", "n")
+    return words.select(F.explode(F.array(*kept)).alias("signature"), "word", "n")
 
 
-# Two words of a bucket that differ in one of its two parts only meet in several buckets; this one counts.
-FIRST_MEETING = """
-    (a.left_i <> b.left_i AND a.left_j <> b.left_j)
-    OR (a.left_i <> b.left_i AND a.i = 0 AND a.j = 1) OR (a.left_j <> b.left_j AND a.left_i = b.left_i AND a.i = 0)
+IN_BUCKET = """
+    flatten(transform(sequence(1, size(l) - 1), i -> transform(
+      filter(slice(l, i + 1, size(l)), y -> levenshtein(y.word, l[i - 1].word, 1) = 1),
+      y -> named_struct('a', l[i - 1].word, 'a_n', l[i - 1].n, 'b', y.word, 'b_n', y.n))))
+"""
+SWAPPED = """
+    flatten(transform(sequence(1, size(l) - 1), i -> transform(
+      slice(l, i + 1, size(l)), y -> named_struct('x', l[i - 1], 'y', y))))
 """
 
 
-def _verified(a: DataFrame, b: DataFrame, on: str, more: str) -> DataFrame:
-    """Pairs of ``a`` and ``b`` that agree in ``on``, are one edit apart and met nowhere before."""
-    match = F.expr(f"a.`{on}` = b.`{on}` AND ({more}) AND ({FIRST_MEETING}) AND levenshtein(a.word, b.word, 1) = 1")
-    return a.alias("a").join(b.alias("b"), match).selectExpr("a.word AS a", "a.n AS a_n", "b.word AS b", "b.n AS b_n")
+def _cut_pairs(words: DataFrame) -> DataFrame:
+    """``near_pairs`` by what is left of a word without one letter, for words of crowded buckets.
+
+    A shorter word equals the longer one's rest, and words with a replaced letter have the same rest at the same
+    place, where no more words meet than there are letters. Rows are three numbers, so the work grows with
+    the words' letters and not with their pairs.
+    """
+    rest = F.transform(
+        F.sequence(F.lit(1), F.char_length("word")),
+        lambda k: F.xxhash64(
+            F.concat(F.substring(F.col("word"), F.lit(1), k - 1), F.substring(F.col("word"), k + 1, F.char_length("word")))
+        ),
+    )
+    named = words.select(F.xxhash64("word").alias("id"), "word", "n")
+    rests = materialise(named.select("id", F.posexplode(rest).alias("place", "rest")), "spelling-rests")
+    put_in = rests.select(F.col("id").alias("x"), "rest").join(named.select(F.col("id").alias("y")), F.col("rest") == F.col("y"))
+    met = rests.groupBy("place", "rest").agg(F.collect_list("id").alias("l")).filter(F.size("l") > 1)
+    replaced = met.select(F.explode(F.expr(SWAPPED)).alias("p")).select("p.*")
+    ids = put_in.select("x", "y").unionByName(replaced).distinct()
+    both = ids.join(named.selectExpr("id AS x", "word AS x_word", "n AS x_n"), "x").join(
+        named.selectExpr("id AS y", "word AS y_word", "n AS y_n"), "y"
+    )
+    x, y = (F.struct(F.col(f"{c}_word").alias("word"), F.col(f"{c}_n").alias("n")) for c in "xy")
+    sure = both.filter(F.levenshtein("x_word", "y_word", 1) == 1)
+    return sure.select(F.least(x, y).alias("p"), F.greatest(x, y).alias("q")).selectExpr(
+        "p.word AS a", "p.n AS a_n", "q.word AS b", "q.n AS b_n"
+    )
 
 
 def near_pairs(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """``(a, a_n, b, b_n)``: every two words one inserted, deleted or replaced code point apart, once.
 
-    Words of a bucket (a signature) are compared with each other as long as it has up to ``crowded`` of them. In larger
-    ones, words meet by what is left of them without one letter: a shorter word equals the longer
-    one's rest, and words with a replaced letter have the same rest at the same place. That is exact and
-    grows with the bucket's letters instead of its pairs. Candidates are checked with the edit distance.
+    The words of a bucket (a signature) are compared with each other by edit distance in the row that holds
+    them, as long as it has up to ``crowded`` of them. Those of larger buckets meet by ``_cut_pairs``, which is exact
+    too. Words that differ in one part meet in several buckets; a pair is returned once.
     """
-    rows = materialise(signatures(words), "spelling-signatures")
-    sizes = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    held = materialise(keyed_join(rows, sizes, "signature"), "spelling-buckets")
-    small = held.filter(F.col("size") <= crowded)
-    pairs = _verified(small, small, "signature", "a.word < b.word")
-    large = held.filter(F.col("size") > crowded)
-    if large.isEmpty():
-        return pairs
-    place = F.posexplode(
-        F.transform(
-            F.sequence(F.lit(1), F.char_length("word")),
-            lambda k: F.concat(F.substring(F.col("word"), F.lit(1), k - 1), F.substring(F.col("word"), k + 1, F.char_length("word"))),
-        )
-    ).alias("place", "rest")
-    columns = ["signature", "i", "j", "left_i", "left_j", "word", "n"]
-    rests = large.select(*columns, place)
-    rests = materialise(
-        rests.select(
-            *columns, F.xxhash64("signature", "rest").alias("cut"), F.xxhash64("signature", "place", "rest").alias("swap")
-        ),
-        "spelling-rests",
-    )
-    whole = large.select(*columns, F.xxhash64("signature", "word").alias("cut"))
-    cut_once = rests.dropDuplicates(["signature", "word", "cut"])
-    put_in = _verified(cut_once, whole, "cut", "a.signature = b.signature")
-    replaced = _verified(rests, rests, "swap", "a.signature = b.signature AND a.word < b.word")
-    return pairs.unionByName(put_in).unionByName(replaced)
+    rows = signatures(words)
+    sizes = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > crowded)
+    sizes = materialise(sizes.select("signature"), "spelling-crowded")
+    few = keyed_join(rows, sizes, "signature", "left_anti", spread=["word"])
+    buckets = few.groupBy("signature").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("l"))
+    pairs = buckets.filter(F.size("l") > 1).select(F.explode(F.expr(IN_BUCKET)).alias("p")).select("p.*")
+    if not sizes.isEmpty():
+        many = keyed_join(rows, sizes, "signature", "left_semi", spread=["word"]).select("word", "n").distinct()
+        pairs = pairs.unionByName(_cut_pairs(materialise(many, "spelling-many")))
+    return pairs.distinct()
 
 
 def roots(forms: DataFrame) -> DataFrame:
