@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window, functions as F
 
 from wardline.operators.blocks import (
     EverBy,
@@ -93,15 +94,47 @@ def test_fractional_time_and_one_axis(spark):
     }
 
 
-def test_unknown_entity_or_time_is_dropped(spark):
-    df = spark.createDataFrame([(1, 1, 5), (None, 1, 5), (1, None, 5)], "e int, t int, v int")
-    assert along_time(df, ["e"], "t", [Last("l", "v")], 10).count() == 1
+@pytest.mark.parametrize("width", [3, 1000])
+def test_rows_without_entity_or_time_are_as_in_plain_windows(spark, width):
+    rng = random.Random(8)
+    data = []
+    for e in [None, *range(12)]:
+        times = rng.sample(range(-30, 60), rng.randint(1, 25)) + ([None] if e is None or e % 3 else [])
+        data += [(e, t, rng.choice([None, rng.randint(0, 9)]), rng.choice([None, 0, 1])) for t in times]
+    df = spark.createDataFrame(data, "e int, t int, v int, f int")
+    start, end = Window.unboundedPreceding, Window.unboundedFollowing
+    w = Window.partitionBy("e").orderBy("t")
+    plain = df.select(
+        "e", "t",
+        F.last("v", True).over(w.rangeBetween(start, 0)).alias("last"),
+        F.last("v", True).over(w.rangeBetween(-8, 0)).alias("last_8"),
+        F.first("v", True).over(w.rangeBetween(0, end)).alias("next"),
+        F.first("v", True).over(w.rangeBetween(0, 5)).alias("next_5"),
+        F.max("v").over(w.rangeBetween(start, 0)).alias("top"),
+        F.sum("v").over(w.rangeBetween(start, 0)).cast("int").alias("total"),
+        F.max("f").over(w.rangeBetween(start, 0)).alias("ever"),
+        F.max("f").over(w.rangeBetween(start, 6)).alias("ever_6"),
+        F.max("v").over(w.rangeBetween(start, end)).alias("most"),
+        F.first("v").over(w.rangeBetween(start, 0)).alias("first"),
+    )
+    specs = [
+        Last("last", "v"), Last("last_8", "v", within=8), Next("next", "v"), Next("next_5", "v", within=5), RunningMax("top", "v"),
+        RunningSum("total", "v"), EverBy("ever", "f"), EverBy("ever_6", "f", 6), Whole("most", "v"), FirstRow("first", "v"),
+    ]
+    got = along_time(df, ["e"], "t", specs, width)
+    rows = lambda x: sorted((tuple(r) for r in x.select(*plain.columns).collect()), key=str)
+    assert rows(got) == rows(plain)
+
+
+def test_several_keys_some_unknown(spark):
+    data = [("a", None, 1, 5), ("a", None, 2, None), (None, 1, 1, 7), (None, 1, 3, None), ("", 0, 4, None), (None, None, 1, None)]
+    df = spark.createDataFrame(data, "a string, b int, t int, v int")
+    got = {(r.a, r.b, r.t): r.l for r in along_time(df, ["a", "b"], "t", [Last("l", "v")], 2).collect()}
+    assert got == {("a", None, 1): 5, ("a", None, 2): 5, (None, 1, 1): 7, (None, 1, 3): 7, ("", 0, 4): None, (None, None, 1): None}
 
 
 def test_hot_entity_is_spread_over_tasks(spark):
     """One entity with nearly all rows: its blocks finish in many tasks, not in one."""
-    from pyspark.sql import functions as F
-
     hot = spark.range(60_000).select(F.lit(1).alias("e"), F.col("id").alias("t"), (F.col("id") % 5).alias("v"))
     rest = spark.range(200).select((F.col("id") + 2).cast("int").alias("e"), F.col("id").alias("t"), F.lit(1).cast("long").alias("v"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

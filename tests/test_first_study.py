@@ -125,6 +125,10 @@ def test_impute_and_outcomes(built):
     met = {(r.threshold, r.met) for r in out.filter("stay_id = 1 AND threshold = 'SF120'").collect()}
     assert met == {("SF120", 1)}
     assert out.filter("met = 0 AND (hour IS NOT NULL OR followed IS NOT NULL)").count() == 0
+    observed, lanes = study.impute(built["cells"], built["mean_sd"], gp, draws=4, lanes=True)
+    assert lanes.filter("size(value) <> 4").count() == 0 and lanes.count() == per_cell.count()
+    by_lane = study.outcomes(observed, lanes, built["baseline"], draws=4)
+    assert sorted(map(str, by_lane.collect())) == sorted(map(str, out.collect()))
 
 
 def test_reports(built):

@@ -11,6 +11,11 @@ With one row per ``(entity, time)`` - collapse first, see ``longtable.collapse``
 holds at most ``width / resolution`` rows of any entity and step 2 at most
 ``range / width``, whatever share of all rows the entity owns. Both bounds come from
 the time axis and not from the amount of data.
+
+Rows without time stand first on their entity's axis, as in a window ordered by time, in a block of
+their own: unbounded frames of later rows include them, frames of fixed reach do not, and on
+such a row itself a frame of fixed reach holds that row alone. Rows without entity share one axis, as in
+a window partitioned by entity.
 """
 
 from __future__ import annotations
@@ -22,6 +27,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 BLOCK = "_block"
+# The block of rows without time, before all others.
+BEFORE_ALL = -(1 << 63)
+# Values that stand for NULL in a key, beside a flag; other types take the text 0.
+_STAND_IN = {"string": "", "boolean": "false", "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01"}
 _START = Window.unboundedPreceding
 _END = Window.unboundedFollowing
 
@@ -30,6 +39,11 @@ def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _alone(time: str, p: str, value: Column) -> Column:
+    """What a frame of fixed reach gives: on a row without time, that of its own block."""
+    return F.when(F.col(time).isNull(), F.col(p + "lv")).otherwise(value)
+
+
 @dataclass(frozen=True)
 class _Frames:
     """The windows a spec may use: over block summaries, and over rows of one block."""
@@ -61,9 +75,9 @@ class Last:
         return self.within is not None or self.time_out is not None
 
     def summary(self, time, p):
-        at = F.when(_col(self.value).isNotNull(), F.col(time))
-        out = [F.max_by(_col(self.value), at).alias(p + "v")]
-        return out + ([F.max(at).alias(p + "t")] if self._timed else [])
+        known = _col(self.value).isNotNull()
+        out = [F.max_by(_col(self.value), F.when(known, F.struct(time))).alias(p + "v")]
+        return out + ([F.max(F.when(known, F.col(time))).alias(p + "t")] if self._timed else [])
 
     def carried(self, p, f):
         parts = "vt" if self._timed else "v"
@@ -82,7 +96,7 @@ class Last:
         at = F.coalesce(F.col(p + "lt"), F.col(p + "t"))
         if self.within is not None:
             near = at >= F.col(time) - F.lit(self.within)
-            value, at = F.when(near, value), F.when(near, at)
+            value, at = _alone(time, p, F.when(near, value)), F.when(near, at)
         out = [value.alias(self.out)]
         return out + ([at.alias(self.time_out)] if self.time_out else [])
 
@@ -102,9 +116,9 @@ class Next:
         return self.within is not None or self.time_out is not None
 
     def summary(self, time, p):
-        at = F.when(_col(self.value).isNotNull(), F.col(time))
-        out = [F.min_by(_col(self.value), at).alias(p + "v")]
-        return out + ([F.min(at).alias(p + "t")] if self._timed else [])
+        known = _col(self.value).isNotNull()
+        out = [F.min_by(_col(self.value), F.when(known, F.struct(time))).alias(p + "v")]
+        return out + ([F.min(F.when(known, F.col(time))).alias(p + "t")] if self._timed else [])
 
     def carried(self, p, f):
         parts = "vt" if self._timed else "v"
@@ -123,7 +137,7 @@ class Next:
         at = F.coalesce(F.col(p + "lt"), F.col(p + "t"))
         if self.within is not None:
             near = at <= F.col(time) + F.lit(self.within)
-            value, at = F.when(near, value), F.when(near, at)
+            value, at = _alone(time, p, F.when(near, value)), F.when(near, at)
         out = [value.alias(self.out)]
         return out + ([at.alias(self.time_out)] if self.time_out else [])
 
@@ -148,6 +162,27 @@ class RunningMax:
         return [F.greatest(F.col(p + "lv"), F.col(p + "v")).alias(self.out)]
 
 
+@dataclass(frozen=True)
+class EarlierBits:
+    """Bits set in a whole number on any row before the row's time; 0 where there is none."""
+
+    out: str
+    value: object
+
+    def summary(self, time, p):
+        return [F.bit_or(_col(self.value)).alias(p + "v")]
+
+    def carried(self, p, f):
+        return [F.bit_or(F.col(p + "v")).over(f.before).alias(p + "v")]
+
+    def local(self, time, p, f):
+        return [F.bit_or(_col(self.value)).over(f.up.rowsBetween(_START, -1)).alias(p + "lv")]
+
+    def result(self, time, p):
+        none = F.lit(0).cast("long")
+        return [F.coalesce(F.col(p + "lv"), none).bitwiseOR(F.coalesce(F.col(p + "v"), none)).alias(self.out)]
+
+
 @dataclass(frozen=True)
 class RunningSum:
     """Sum of the values at or before the row's time; NULL until there is one."""
@@ -190,19 +225,21 @@ class EverBy:
         return [
             F.min(F.when(flag == 1, F.col(time))).alias(p + "on"),
             F.min(F.when(flag.isNotNull(), F.col(time))).alias(p + "known"),
+            F.max(F.when(F.col(time).isNull(), (flag == 1).cast("int"))).alias(p + "first"),
         ]
 
     def carried(self, p, f):
-        return [F.min(p + x).over(f.whole).alias(p + x) for x in ("on", "known")]
+        known = [F.min(p + x).over(f.whole).alias(p + x) for x in ("on", "known")]
+        return known + [F.max(p + "first").over(f.whole).alias(p + "first")]
 
     def local(self, time, p, f):
         return []
 
     def result(self, time, p):
-        limit = F.col(time) + F.lit(self.slack)
+        limit, first = F.col(time) + F.lit(self.slack), F.col(p + "first")
         return [
-            F.when(F.col(p + "on") <= limit, F.lit(1))
-            .when(F.col(p + "known") <= limit, F.lit(0))
+            F.when((F.col(p + "on") <= limit) | (first == 1), F.lit(1))
+            .when((F.col(p + "known") <= limit) | (first == 0), F.lit(0))
             .alias(self.out)
         ]
 
@@ -236,7 +273,7 @@ class FirstRow:
     value: object
 
     def summary(self, time, p):
-        return [F.min_by(_col(self.value), F.col(time)).alias(p + "v")]
+        return [F.min_by(_col(self.value), F.struct(time)).alias(p + "v")]
 
     def carried(self, p, f):
         return [F.first(p + "v").over(f.ordered.rowsBetween(_START, _END)).alias(p + "v")]
@@ -259,7 +296,7 @@ def along_time(
     """Adds one column (or two) per spec; see the module docstring for the method.
 
     ``df`` holds at most one row per ``(by, time)``, and ``width`` is in the unit of ``time``;
-    rows with an unknown entity or time are dropped. All specs share the same shuffle and the same summaries. With no
+    rows with an unknown entity or time come back with what a window gives them. All specs share the same shuffle and the same summaries. With no
     ``by`` the whole frame is one axis. ``block`` replaces the equal widths by any integer
     column that never decreases with ``time``.
 
@@ -268,16 +305,21 @@ def along_time(
     filter the result, Catalyst carries that into the rows pass alone and the source is read
     twice: write a costly ``df`` first (``sources.tables.materialise``).
     """
-    by = list(by)
-    keys = by + [BLOCK]
     if block is None:
         block = F.floor(F.col(time) / F.lit(width))
-    # The same conditions the join below would infer for its row side only. Stated here they
-    # hold on both sides, which then share one exchange instead of reading the input twice.
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    rows = df.withColumn(BLOCK, block.cast("long")).filter(known)
+    # Keys without NULL: the join below then needs no filter that its row side alone would get,
+    # so both sides share one exchange, and rows without entity or time meet their summaries too.
+    known = {BLOCK: F.coalesce(block.cast("long"), F.lit(BEFORE_ALL))}
+    for i, name in enumerate(by):
+        field = df.schema[name]
+        if field.nullable:
+            known[f"_by{i}"] = F.coalesce(F.col(name), F.lit(_STAND_IN.get(field.dataType.typeName(), "0")).cast(field.dataType))
+            known[f"_no{i}"] = F.col(name).isNull()
+        else:
+            known[f"_by{i}"] = F.col(name)
+    rows = df.withColumns(known)
+    by = [k for k in known if k != BLOCK]
+    keys = by + [BLOCK]
     tags = [(f"_s{i}", s) for i, s in enumerate(specs)]
     entity = Window.partitionBy(*by)
     within_block = Window.partitionBy(*keys)

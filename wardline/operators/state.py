@@ -125,7 +125,7 @@ def cumulative_states(
         ],
     )
     running = along_time(
-        per_time,
+        per_time.filter(F.col(time).isNotNull()),
         [],
         time,
         [RunningSum(f"_c{i}", f"_n{i}") for i in range(len(events))],

@@ -19,6 +19,7 @@ from wardline.operators.blocks import EverBy, Last, Whole, along_time
 from wardline.operators.impute import (
     GaussianProcess,
     completed_grid,
+    completed_lanes,
     gaussian_imputations,
     on_raw_scale,
 )
@@ -35,7 +36,7 @@ from wardline.operators.longtable import (
     to_long,
     union_long,
 )
-from wardline.operators.outcomes import end_event, evaluate_rules
+from wardline.operators.outcomes import end_event, evaluate_rules, evaluate_rules_over_draws
 from wardline.operators.pick import best_row, code_set_flags, latest_at_index
 from wardline.operators.reshape import carried_grid
 from wardline.operators.sample import dense_index, sample_entities
@@ -566,20 +567,28 @@ def hyperparameter_sample(clean: DataFrame) -> DataFrame:
 
 
 def impute(
-    cells: DataFrame, scale: DataFrame, gp: GaussianProcess, draws: int = 100, seed: int = fixed.SAMPLE_SEED
+    cells: DataFrame, scale: DataFrame, gp: GaussianProcess, draws: int = 100, seed: int = fixed.SAMPLE_SEED,
+    lanes: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Observed cells and the draws for the empty ones, from time 0, in hours and raw units."""
-    drawn = gaussian_imputations(cells, "stay_id", "time", gp, draws, seed)
+    """Observed cells and the draws for the empty ones, from time 0, in hours and raw units.
+
+    With ``lanes`` an empty cell is one row with the array of its draws, the form to use at scale.
+    """
+    drawn = gaussian_imputations(cells, "stay_id", "time", gp, draws, seed, lanes)
     return on_raw_scale(cells, drawn, scale, fixed.FIRST_TRANSFORMS, "time", MODEL_ORDER, 24)
 
 
 def outcomes(observed: DataFrame, drawn: DataFrame, clean: DataFrame, draws: int = 100) -> DataFrame:
-    """Every rule on every completed series. No rule reads the blood pressure."""
+    """Every rule on every completed series, from draws as rows or as lanes. No rule reads the blood pressure."""
     used = [v for v in MODEL_ORDER if v != "sbp"]
-    grid = completed_grid(observed, drawn, "stay_id", "time", used, draws)
     flags = clean.select(
         "stay_id", F.col("imv_ever").alias("imv"), F.col("death_obs").alias("death")
     )
+    if drawn.schema["value"].dataType.typeName() == "array":
+        predicted = [v for v in used if v in fixed.FIRST_PREDICTED]
+        grid = completed_lanes(observed, drawn, "stay_id", "time", used, predicted)
+        return evaluate_rules_over_draws(grid, flags, "stay_id", draws, predicted)
+    grid = completed_grid(observed, drawn, "stay_id", "time", used, draws)
     return evaluate_rules(grid, flags, "stay_id")
 
 
