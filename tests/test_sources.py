@@ -103,3 +103,50 @@ def test_draws(spark, tmp_path):
 
 def test_schemas_parse():
     assert len(schemas.first_database()) == 23 and len(schemas.second_database()) == 9
+
+
+def test_steps_are_deleted_with_their_scope(spark, frame, tmp_path):
+    import os
+
+    df = frame([(1,), (2,)], "a int")
+    outer = tables.materialise(df, "outer", str(tmp_path))
+    with tables.step_scope(spark) as steps:
+        first = tables.materialise(outer, "first", str(tmp_path))
+        with tables.step_scope(spark):
+            inner = tables.materialise(first, "inner", str(tmp_path))
+            tables.write_table(inner, f"{tmp_path}/result")
+        assert len(steps) == 1 and first.count() == 2
+    left = {n.split("-")[0] for n in os.listdir(tmp_path)}
+    assert left == {"outer", "result"} and spark.read.parquet(f"{tmp_path}/result").count() == 2
+
+
+def test_steps_of_a_failure_are_listed(spark, frame, tmp_path):
+    import os
+
+    with pytest.raises(ZeroDivisionError) as caught, tables.step_scope(spark) as steps:
+        tables.materialise(frame([(1,)], "a int"), "kept", str(tmp_path))
+        1 / 0
+    assert steps and all(os.path.isdir(p) for p in steps)
+    assert steps[0] in caught.value.__notes__[0]
+
+
+def test_killed_and_repeated_batches_give_each_entity_once(spark, frame, tmp_path, monkeypatch, rows):
+    path = f"{tmp_path}/out"
+    todo = frame([(k,) for k in range(6)], "id int")
+    assert tables.remaining_batches(todo, path, "id").count() == 6
+
+    def run(batch, ids):
+        entities = frame([(k,) for k in ids], "id int")
+        results = entities.filter("id <> 3").selectExpr("id", "id * 10 AS v", "explode(array(1, 2)) AS n")
+        return tables.write_batch(results, entities, path, "id", batch, buckets=2)
+
+    assert run("a", [0, 1])
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "write_table", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            run("b", [2, 3])
+    assert rows(tables.remaining_batches(todo, path, "id")) == [(2,), (3,), (4,), (5,)]
+    assert {r.id for r in tables.gather_batches(spark, path).collect()} == {0, 1}
+    assert run("b", [2, 3]) and not run("b", [2, 3]) and not run("a", [0, 1])
+    assert rows(tables.remaining_batches(todo, path, "id")) == [(4,), (5,)]
+    assert rows(tables.gather_batches(spark, path), "id", "n") == [(k, n) for k in (0, 1, 2) for n in (1, 2)]

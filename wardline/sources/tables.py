@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -56,15 +58,66 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+# The open step scopes, innermost last: paths of the steps written inside each.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _file_system(spark, path)
+    return system.exists(place)
+
+
+def note_step(path: str) -> str:
+    """Puts a folder written elsewhere under the innermost open scope."""
+    for scope in _SCOPES.get()[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def step_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Owns the steps written inside the block and deletes them at its end.
+
+    Results are read from steps as long as they are not written themselves, so write or collect them inside::
+
+        with step_scope(spark):
+            write_table(query(spark, folder), target)
+
+    Scopes nest; each deletes its own steps. When the block fails its steps stay, for a look or another try, and the error
+    lists them.
+    """
+    steps: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), steps))
+    try:
+        yield steps
+    except BaseException as error:
+        if steps:
+            error.add_note("steps left: " + ", ".join(steps))
+        raise
+    else:
+        for path in steps:
+            place, system = _file_system(spark, path)
+            system.delete(place, True)
+        steps.clear()
+    finally:
+        _SCOPES.reset(token)
+
+
 def materialise(
     df: DataFrame, name: str, folder: str | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Writes a step that several later steps read, and reads it back.
 
-    The written table cuts the lineage and survives lost executors.
+    The written table cuts the lineage and survives lost executors. It belongs to the innermost ``step_scope``;
+    outside of any it stays.
     """
     spark = df.sparkSession
-    path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = note_step(f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}")
     write_table(df, path, partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -102,6 +155,46 @@ def remaining(todo: DataFrame, path: str, entity: str) -> DataFrame:
     return exclude(todo, done, entity)
 
 
+def write_batch(
+    df: DataFrame, entities: DataFrame, path: str, entity: str, batch: str, buckets: int = 64
+) -> bool:
+    """Results of one batch of entities with a commit record; False where the batch is finished already.
+
+    The results go to a folder of the batch, which another try replaces as a whole. Only then is the record
+    of the batch written: the ids of all its ``entities``, also of those without a result row. What a killed run left
+    without a record does not count, so a repeated run has each entity once.
+    """
+    spark = df.sparkSession
+    record = f"{path}/finished/batch={batch}"
+    if exists(spark, f"{record}/_SUCCESS"):
+        return False
+    write_results(df, f"{path}/results/batch={batch}", entity, buckets, mode="overwrite")
+    write_table(entities.select(entity).distinct(), record)
+    return True
+
+
+def finished_entities(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(entity, batch)`` of the commit records, None before the first; results are not read."""
+    if not exists(spark, f"{path}/finished"):
+        return None
+    return spark.read.parquet(f"{path}/finished")
+
+
+def gather_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The results of all finished batches; folders without a record are left out before they are read."""
+    done = [r.batch for r in spark.read.parquet(f"{path}/finished").select("batch").distinct().collect()]
+    results = spark.read.parquet(f"{path}/results")
+    return results.filter(F.col("batch").isin(done)).drop("batch", "bucket")
+
+
+def remaining_batches(todo: DataFrame, path: str, entity: str) -> DataFrame:
+    """Entities without a commit record; all of them before the first."""
+    from wardline.operators.joins import exclude
+
+    done = finished_entities(todo.sparkSession, path)
+    return todo if done is None else exclude(todo, done.select(entity), entity)
+
+
 def write_report(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     """A report table as CSV with a header. Sorted only here, at the sink."""
     (df.orderBy(*order_by) if order_by else df).write.mode("overwrite").csv(path, header=True)
