@@ -15,7 +15,7 @@ from wardline.operators.joins import (
     nearest_in_window,
     restrict,
 )
-from wardline.operators.longtable import stack_long, to_long, union_distinct, union_long
+from wardline.operators.longtable import route, stack_long, to_long, union_distinct, union_long
 from wardline.operators.reshape import to_grid
 from wardline.operators.spine import align, prefer_mean, product_mean, spine, sum_and_count
 from wardline.sources.tables import materialise
@@ -25,12 +25,9 @@ def written(timeline):
     return materialise(timeline, "timeline")
 
 
-def _sources(spark, folder):
-    """Per user and day: device settings, a flow, vital signs, charted values, procedures."""
-    ev = events(spark, folder).withColumn("day", F.floor(F.col("minute") / DAY))
-    kind = F.col("event_type")
-    return {name: ev.filter(kind == name).select("user_id", "day", "value") for name in
-            ("signup", "click", "view", "error", "purchase")}
+def _observed(spark, folder):
+    """Events with their day: device settings, a flow, vital signs, charted values and procedures in one table."""
+    return events(spark, folder).withColumn("day", F.floor(F.col("minute") / DAY))
 
 
 @query(
@@ -43,11 +40,9 @@ UNION SELECT o_custkey, date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) FR
 """,
 )
 def spine_union(spark, folder):
-    s = _sources(spark, folder)
     od = orders(spark, folder).select(F.col("o_custkey").alias("user_id"), F.col("day").cast("long"))
-    return spine(
-        [s["signup"], s["click"], s["view"], s["error"], od], ["user_id", "day"]
-    )
+    seen = _observed(spark, folder).filter(F.col("event_type").isin("signup", "click", "view", "error"))
+    return spine([seen, od], ["user_id", "day"])
 
 
 @query(
@@ -74,37 +69,31 @@ GROUP BY 1, 2
 """,
 )
 def spine_align(spark, folder):
-    s = _sources(spark, folder)
     key = ["user_id", "day"]
-    v = F.col("value")
+    kind, v = F.col("event_type"), F.col("value")
     device = F.when(v < 80, v)
     estimate = F.when(device.isNotNull() & (21 + v * 3 <= 100), 21 + v * 3)
     marked = v > 30
-    frames = [
-        s["signup"].select(
-            *key, F.when(v > 120, 6).when(v > 60, 5).alias("code"), F.lit(1).alias("seen")
-        ),
-        s["click"].select(
-            *key,
-            F.when(device > 60, 5).when(device > 30, 4).when(device > 10, 1).alias("code"),
-            F.when(device.isNotNull(), 1).alias("seen"),
-            F.lit(1).alias("flow_row"),
-            estimate.alias("estimate"),
-        ),
-        s["view"].select(
-            *key, F.when((v <= 100) & (v >= 5), v).alias("spo2"), F.lit(1).alias("seen")
-        ),
-        s["error"].select(
-            *key,
-            F.when(marked & (v >= 20) & (v <= 100), v).alias("charted"),
-            F.when(marked, 1).alias("marked_row"),
-            F.when(~marked, 1).alias("unmarked_row"),
-            F.when(marked, 1).alias("seen"),
-        ),
-        s["purchase"].filter("value > 100").select(*key, F.lit(6).alias("code"), F.lit(1).alias("seen")),
-    ]
+    one = F.lit(1)
+    rows = route(
+        _observed(spark, folder),
+        key,
+        [
+            (kind == "signup", {"code": F.when(v > 120, 6).when(v > 60, 5), "seen": one}),
+            (kind == "click", {
+                "code": F.when(device > 60, 5).when(device > 30, 4).when(device > 10, 1),
+                "seen": F.when(device.isNotNull(), 1), "flow_row": one, "estimate": estimate,
+            }),
+            (kind == "view", {"spo2": F.when((v <= 100) & (v >= 5), v), "seen": one}),
+            (kind == "error", {
+                "charted": F.when(marked & (v >= 20) & (v <= 100), v), "marked_row": F.when(marked, 1),
+                "unmarked_row": F.when(~marked, 1), "seen": F.when(marked, 1),
+            }),
+            ((kind == "purchase") & (v > 100), {"code": F.lit(6), "seen": one}),
+        ],
+    )
     aligned = align(
-        frames,
+        [rows],
         key,
         [
             F.max("code").alias("o2_device"),
@@ -134,15 +123,18 @@ FROM e WHERE event_type IN ('error', 'click') GROUP BY 1, 2
 """,
 )
 def spine_prefer_charted(spark, folder):
-    s = _sources(spark, folder)
     key = ["user_id", "day"]
-    v = F.col("value")
-    frames = [
-        s["error"].select(*key, F.when(v.between(20, 100), v).alias("charted")),
-        s["click"].select(*key, F.when(21 + v * 3 <= 100, 21 + v * 3).alias("estimate")),
-    ]
+    kind, v = F.col("event_type"), F.col("value")
+    rows = route(
+        _observed(spark, folder),
+        key,
+        [
+            (kind == "error", {"charted": F.when(v.between(20, 100), v)}),
+            (kind == "click", {"estimate": F.when(21 + v * 3 <= 100, 21 + v * 3)}),
+        ],
+    )
     columns = sum_and_count("charted", F.col("charted")) + sum_and_count("estimate", F.col("estimate"))
-    aligned = align(frames, key, columns)
+    aligned = align([rows], key, columns)
     return rounded(aligned.select(*key, prefer_mean("charted", "estimate").alias("fio2")), "fio2")
 
 
@@ -222,10 +214,9 @@ FROM e a JOIN e b ON a.user_id = b.user_id AND a.day = b.day AND a.event_type =
 """,
 )
 def join_equal_instant(spark, folder):
-    s = _sources(spark, folder)
-    key = ["user_id", "day"]
-    stays = s["signup"].groupBy(*key).agg(F.max("value").alias("admitted"))
-    moves = s["purchase"].groupBy(*key).agg(F.max("value").alias("unit"))
+    ev, key = _observed(spark, folder), ["user_id", "day"]
+    stays = ev.filter("event_type = 'signup'").groupBy(*key).agg(F.max("value").alias("admitted"))
+    moves = ev.filter("event_type = 'purchase'").groupBy(*key).agg(F.max("value").alias("unit"))
     return stays.join(moves, key)
 
 

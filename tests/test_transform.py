@@ -123,3 +123,19 @@ def test_dense_index_edges(spark):
     df = spark.createDataFrame([(None,), (4,), (4,), (2,)], "e bigint")
     assert {r.e: r.id for r in sample.dense_index(df, "e").collect()} == {None: 1, 2: 2, 4: 3}
     assert sample.dense_index(df.limit(0), "e").count() == 0
+
+
+def test_routed_rows_equal_filtered_sources(frame, rows):
+    from pyspark.sql import functions as F
+
+    from wardline.operators.longtable import route, union_long
+
+    df = frame([(1, "a", 5.0), (1, "b", None), (2, "a", 7.0), (None, "c", 1.0), (3, None, 2.0)], "id int, kind string, v double")
+    kind = F.col("kind")
+    got = route(df, ["id"], [(kind == "a", {"x": F.col("v")}), (kind.isin("a", "b"), {"y": F.lit(1), "x": F.col("v") * 2})])
+    want = union_long([
+        df.filter(kind == "a").select("id", F.col("v").alias("x")),
+        df.filter(kind.isin("a", "b")).select("id", F.lit(1).alias("y"), (F.col("v") * 2).alias("x")),
+    ])
+    assert rows(got, "id", "x", "y") == rows(want, "id", "x", "y")
+    assert got._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
