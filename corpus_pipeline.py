@@ -16,19 +16,29 @@ from wardline.llm.common import read
 from wardline.llm.queries import tokenizer_path
 from wardline.sources.tables import materialise
 
+# Rows that a Python worker is handed at once. Workers live through all stages and keep what their largest batch took.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model of operator 4 names; repeated rows share their fate."""
+    small_batches(spark)
     return language.keep_identified(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each component of operator 1: 3-word shingles, two bits; one of repeated rows."""
+    small_batches(spark)
     return simhash.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which operator 8 finds no benchmark item; repeated rows share their fate."""
+    small_batches(spark)
     return templates.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -39,6 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Offsets, counts and sums of the token files of operator 3; every row has an entry, rows of one id in any order."""
+    small_batches(spark)
     place = token_files.token_folder(spark)
     token_files.write_token_files(docs, place, tokenizer_path("word_bpe_49k.json"))
     return token_files.with_ids_crc32(token_files.read_token_files(spark, place))
