@@ -18,6 +18,7 @@ from wardline.llm import (
     token_files, url_graph,
 )
 from wardline.llm.components import components
+from wardline.llm.license_notices import NOTICES
 from wardline.llm.queries import ORACLES, QUERIES, RULES, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -165,8 +166,6 @@ def test_licence_notices(text, found):
 
 
 def test_long_notice_broken_into_lines_is_found_once():
-    from wardline.llm.license_notices import NOTICES
-
     notice = NOTICES["MIT"][3].split()
     text = "head\n" + "\n".join(" ".join(notice[i : i + 9]) for i in range(0, len(notice), 9)) + "\ntail"
     assert [h[2] for h in licenses.scan(text)] == ["MIT"]
@@ -174,6 +173,67 @@ def test_long_notice_broken_into_lines_is_found_once():
     assert [h[2] for h in licenses.scan(three)] == ["BSD-3-Clause"]
 
 
+@pytest.mark.parametrize("width", [40, 72])
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_each_notice_is_found_as_itself_however_it_is_broken(width, mark):
+    import textwrap
+
+    for name, notices in NOTICES.items():
+        for notice in notices:
+            lines = textwrap.wrap(notice, width)
+            text = "\n".join(["head line", *(mark + x for x in lines), "tail of it"])
+            assert [h[:3] for h in licenses.scan(text)] == [(1, len(lines), name)], (name, notice)
+
+
+def test_words_that_tell_licences_apart():
+    gpl, bsd = NOTICES["GPL-3.0"][3], NOTICES["BSD-3-Clause"][2]
+    found = lambda text: [h[2] for h in licenses.scan(text)]
+    assert found(gpl.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0"]
+    assert found(gpl.replace("GNU General", "GNU Lesser General")) == ["LGPL-3.0"]
+    assert found(gpl.replace("GNU General", "GNU Library General")) == []
+    assert found(gpl.replace("version 3", "version 4")) == []
+    assert found(gpl.replace("This program", "Foobar")) == ["GPL-3.0"]
+    assert found(bsd.replace("the copyright holder", "the University of Springfield")) == ["BSD-3-Clause"]
+    for bullet in ("\n- ", "\n  * ", "\n(1) "):
+        assert found(re.sub(r"\d\. ", lambda m: bullet, bsd)) == ["BSD-3-Clause"]
+    common = "This work is licensed under a Creative Commons %s 4.0 International License."
+    for kind, want in (("Attribution", ["CC-BY-4.0"]), ("Attribution-NonCommercial-ShareAlike", ["CC-BY-NC-SA-4.0"]),
+                       ("Attribution-NoDerivatives", ["CC-BY-ND-4.0"]), ("Attribution-NonCommercial-Sampling", [])):
+        assert found(common % kind) == want
+    assert found("SPDX-License-Identifier: MIT-0") == []
+
+
+def test_several_notices_of_one_text():
+    """On one line, in stretches of a long line, repeated, and beside each other."""
+    two = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    assert [h[:3] for h in licenses.scan(two)] == [(0, 0, "Apache-2.0"), (0, 0, "MIT")]
+    far = " word" * 2000
+    assert [h[2] for h in licenses.scan(two.replace("Licensed", far + " license Licensed"))] == ["Apache-2.0", "MIT"]
+    again = "\n".join([two, "x" * 9, two])
+    assert [h[:3] for h in licenses.scan(again)] == [(k, k, n) for k in (0, 2) for n in ("Apache-2.0", "MIT")]
+
+
+def test_counts_rule_out_only_what_words_do():
+    """Against all notices compared word by word, without ranking or counts."""
+    for notices in NOTICES.values():
+        for notice in notices:
+            words, at = licenses.words_at(notice)
+            assert len(words) == len(at)
+            for other in (n for ns in NOTICES.values() for n in ns):
+                sought = licenses.words_at(other)[0]
+                *span, count, telling = licenses.differences(words, sought)
+                want = None if telling or count > int(licenses.MOST_DIFFERENT * len(sought)) else (*span, count)
+                assert licenses.confirmed(words, Counter(words), sought, Counter(sought)) == want
+
+
+def test_licences_of_awkward_rows_with_notices(spark):
+    notice = NOTICES["MIT"][3]
+    rows = [(1, notice, 5), (2, notice, 5), (2, notice, 5), (None, notice, None), (3, "word " * 400_000 + "\n" + notice, 1), (4, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, first_line int").selectExpr("*", "'x' as license")
+    got = sorted((r._row_id or 0, r.first_line, r.license) for r in licenses.licenses(docs).collect())
+    assert got == [(0, 0, "MIT"), (1, 0, "MIT"), (2, 0, "MIT"), (2, 0, "MIT"), (3, 1, "MIT")]
+
+
 @here
 def test_op2_finds_every_notice_line(spark, texts):
     lines = {

@@ -39,16 +39,27 @@ NOTICES: dict[str, tuple[str, ...]] = {
     ),
     "LGPL-2.1": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "SPDX-License-Identifier: LGPL-2.1-only",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+        "License, or (at your option) any later version.",
     ),
     "LGPL-3.0": (
         "Licensed under the GNU Lesser General Public License, version 3.",
+        "SPDX-License-Identifier: LGPL-3.0-only",
         "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
     ),
     "AGPL-3.0": (
         "Licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
         "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
     ),
     "MPL-2.0": (
         "Licensed under the Mozilla Public License, version 2.0.",
@@ -108,8 +119,23 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Licensed under CC BY-ND 4.0.",
         "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
     ),
-    "CC-BY-NC-SA-4.0": ("Licensed under CC BY-NC-SA 4.0.",),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-NC-ND-4.0": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
 }
 
 # One of these, lower-cased, stands in every notice; texts and lines without any are passed over.
 CUES = ("licen", "copyright", "permission", "redistribut", "spdx", "warrant", "public domain")
+
+# Words that make a licence another one; beside them every word with a digit.
+TELLING = frozenset(
+    """
+    affero lesser library mozilla apache mit isc bsd gpl lgpl agpl mpl unlicense cc0 not no non
+    attribution noncommercial commercial sharealike share alike noderivatives noderivs derivatives derivs nc sa nd by
+    """.split()
+)
