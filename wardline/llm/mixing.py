@@ -71,8 +71,10 @@ def copies(
     come first among equal sizes; equal rows may trade places; a source without words takes nothing;
     an empty table gives no rows. The sums along a source run over tasks (see ``ranked``).
     """
-    narrow = docs.select("doc_id", "source", "size", *carry).withColumn("_mix", F.md5(F.col("doc_id").cast("string")))
-    order = ranked(narrow, ["source"], ["size", "_mix", "doc_id"], "_rank")
+    # Sampled, sorted and summed below: words are counted once, not in each of the three.
+    narrow = materialise(docs.select("doc_id", "source", "size", *carry), "sizes")
+    mixed = narrow.withColumn("_mix", F.md5(F.col("doc_id").cast("string")))
+    order = ranked(mixed, ["source"], ["size", "_mix", "doc_id"], "_rank")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     aims = materialise(targets(sizes, weights, share, most), "targets").withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
