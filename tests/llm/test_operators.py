@@ -470,7 +470,9 @@ ITEM = "Yesterday Anna had 12 apples and gives 5 kg of them to Bob before lunch,
         (ITEM.upper().replace("ANNA", "Anna").replace("BOB", "Bob"), 0),
         (ITEM.replace("12", "30").replace("5 kg", "7 km"), 3),
         (ITEM.replace("Anna", "Carla").replace("Bob", "Dan"), 2),
-        (ITEM.replace("Anna have", "Carla have"), None),
+        (ITEM.replace("Anna have", "Carla have"), 1),
+        (ITEM.replace("Anna have", "Carla have").replace("12", "30").replace("Bob", "Dan"), 3),
+        (ITEM.replace("them", "those").replace("many", "few"), None),
         ("some other words that say nothing of the kind at all here and there and everywhere else", None),
         (None, None),
         ("", None),
@@ -487,6 +489,42 @@ def test_template_windows_find_other_parameters(spark, passage, changed):
         assert [(r.item_id, r.changed_slots) for r in got] == [(7, changed)]
 
 
+def plain_stretch(found):
+    """Every stretch of windows, tried one by one."""
+    at = defaultdict(set)
+    for w in found:
+        at[w["position"]] |= {(s["was"], s["now"]) for s in w["found"]}
+    places, best = sorted(at), (0, 0, 0)
+    for a in range(len(places)):
+        for b in range(a, len(places)):
+            pairs = set().union(*(at[p] for p in places[a : b + 1]))
+            if len(pairs) == len({was for was, _ in pairs}):
+                best = max(best, (b + 1 - a, -sum(x != y for x, y in pairs), -places[a]))
+    return best[0], -best[2], -best[1]
+
+
+SLOT = st.fixed_dictionaries({"was": st.sampled_from("abc"), "now": st.sampled_from("abc")})
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.fixed_dictionaries({"position": st.integers(0, 12), "found": st.lists(SLOT, max_size=3)}), max_size=12))
+def test_steady_stretch(found):
+    assert templates.steady_stretch(found) == plain_stretch(found)
+
+
+def test_copies_with_any_one_other_word_are_found(spark):
+    """An edit leaves a stretch of 13 of the 25 words but for one in the middle."""
+    plain = ITEM.split()
+    texts = []
+    for k, word in enumerate(plain):
+        other = "77" if word.isdigit() else "Carla" if word[0].isupper() else "zzz"
+        texts.append((k, " ".join([*plain[:k], other, *plain[k + 1 :]])))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, ITEM)], "item_id bigint, text string")
+    got = {r._row_id for r in templates.contaminated(docs, items).collect()}
+    assert got >= set(range(len(plain))) - {12}
+
+
 @pytest.mark.parametrize(
     "item, passage",
     [

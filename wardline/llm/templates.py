@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -291,6 +292,59 @@ def _with_tokens(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts)], names=["item_id", "text", "tokens"])
 
 
+def steady_stretch(found: list[dict]) -> tuple[int, int, int]:
+    """The longest stretch of a passage's windows in which each slot value of the item stands for one value.
+
+    ``(windows, first position, changed slot values)``. Windows come as ``position`` and ``found`` slots, each with
+    ``was`` and ``now``; of equally long stretches the one with the fewest changed values counts, then the first. A window
+    that names two values for one by itself belongs to no stretch; one that was met both as template and as
+    it stands has its slots from the template.
+    """
+    at: dict[int, set[tuple[str, str]]] = {}
+    for window in found:
+        at.setdefault(window["position"], set()).update((s["was"], s["now"]) for s in window["found"])
+    places = sorted(at)
+    held: dict[str, Counter] = {}
+    best = (0, 0, 0)
+    low = 0
+    odd = 0
+    for high, place in enumerate(places):
+        for was, now in at[place]:
+            values = held.setdefault(was, Counter())
+            values[now] += 1
+            odd += len(values) == 2 and values[now] == 1
+        while odd:
+            for was, now in at[places[low]]:
+                values = held[was]
+                values[now] -= 1
+                if not values[now]:
+                    del values[now]
+                    odd -= len(values) == 1
+            low += 1
+        if low <= high:
+            changed = len({pair for p in places[low : high + 1] for pair in at[p] if pair[0] != pair[1]})
+            best = max(best, (high + 1 - low, -changed, -places[low]))
+    windows, changed, start = best
+    return windows, -start, -changed
+
+
+def _stretch_rows(batches):
+    """Rows of passages that are consistent in a stretch of enough words only."""
+    names = [*ROW_KEY, "item_id", "matched_words", "start_word", "changed_slots"]
+    for batch in batches:
+        owners, rows = [], []
+        columns = (batch.column("_found").to_pylist(), batch.column("length").to_pylist(), batch.column("_least").to_pylist())
+        for i, (found, length, least) in enumerate(zip(*columns)):
+            count, start, changed = steady_stretch(found)
+            if count and count + length - 1 >= least:
+                owners.append(i)
+                rows.append((count + length - 1, start, changed))
+        if rows:
+            kept = batch.select([*ROW_KEY, "item_id"]).take(pa.array(owners, pa.int64()))
+            kinds = [pa.int32(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=names)
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -306,7 +360,8 @@ def contaminated(
     ``ROW_KEY, item_id, matched_words, start_word, changed_slots``. Windows of equal templates, and such of
     equal words whatever their case, marks and placeholders, are met by a hash join. A passage is a set of windows at one distance between document and item;
     it counts when it spans ``least_words`` tokens, or all but two of a shorter item,
-    and when each slot value of the item stands for one value in the document throughout.
+    and when each slot value of the item stands for one value in the document throughout. Where it does not,
+    the longest stretch of the passage in which it does is judged in the same way (``steady_stretch``).
     ``changed_slots`` is 0 for a plain copy and counts the slot values that differ otherwise.
 
     Before the join a bitmap of 2**23 bits, whatever the benchmark's size, drops windows that no item
@@ -353,9 +408,11 @@ def contaminated(
     ).agg(
         F.countDistinct("position").alias("_windows"),
         F.min("position").alias("start_word"),
-        F.array_distinct(F.flatten(F.collect_set(slots))).alias("_slots"),
+        F.collect_set(F.struct("position", slots.alias("found"))).alias("_found"),
     )
-    pairs = F.array_distinct(F.transform("_slots", lambda s: F.struct(s["was"].alias("was"), s["now"].alias("now"))))
+    # At most one entry per window of the item.
+    every = F.flatten(F.col("_found.found"))
+    pairs = F.array_distinct(F.transform(every, lambda s: F.struct(s["was"].alias("was"), s["now"].alias("now"))))
     judged = passages.withColumn("_pairs", pairs).select(
         *ROW_KEY,
         "item_id",
@@ -364,8 +421,17 @@ def contaminated(
         F.size(F.filter("_pairs", lambda s: s["was"] != s["now"])).alias("changed_slots"),
         (F.size("_pairs") == F.size(F.array_distinct(F.transform("_pairs", lambda s: s["was"])))).alias("_steady"),
         F.least(F.lit(least_words), F.greatest(F.col("tokens") - 2, F.col("length"))).alias("_least"),
+        "length",
+        "_found",
+    ).filter("matched_words >= _least")
+    judged = materialise(judged.withColumn("_found", F.when(~F.col("_steady"), F.col("_found"))), "passages")
+    outcome = [*ROW_KEY, "item_id", "matched_words", "start_word", "changed_slots"]
+    pieces = arrow_map(
+        judged.filter("not _steady").select(*ROW_KEY, "item_id", "length", "_least", "_found"),
+        _stretch_rows,
+        f"{row}, item_id bigint, matched_words int, start_word bigint, changed_slots int",
     )
-    hits = judged.filter("_steady and matched_words >= _least")
+    hits = judged.filter("_steady").select(*outcome).unionByName(pieces)
     best = F.max(F.struct("matched_words", (-F.col("changed_slots")).alias("c"), (-F.col("start_word")).alias("s")))
     return hits.groupBy(*ROW_KEY, "item_id").agg(best.alias("b")).select(
         *ROW_KEY,
