@@ -605,6 +605,34 @@ def test_trust_and_distrust_spread(spark):
     assert url_graph.judge(pages.filter("false"), RULES).count() == 0
 
 
+def test_ancestors_without_pages_join_hosts(spark):
+    hosts = ["a.b.example.com", "c.example.com", "example.org", "10.0.0.1", "10.0.0.1:80", "x.y.org:8080", "l." * 200 + "com", "solo"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = {(r.host, r.parent) for r in url_graph.kinship(frame).collect()}
+    assert got == {
+        ("a.b.example.com", "b.example.com"), ("b.example.com", "example.com"), ("c.example.com", "example.com"), ("x.y.org:8080", "y.org:8080"),
+    }
+
+
+def test_pages_of_kin_very_long_and_repeated(spark):
+    """Distrust of blocked hosts reaches the other hosts of their domain, and not other domains."""
+    rows = [page(k, f"https://s{k % 3}.kin.com/de/{k}") for k in range(6)] + [page(9, "https://other.kin.com/x")] * 2
+    rows += [page(10 + k, f"https://far{k}.example.org/x", "<p>//</p>" * 200_000 if k == 0 else None) for k in range(4)]
+    rules = (url_graph.Rule("block", "kin.com", "/de/"),)
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string")
+    got = [(r.page_id, r.verdict) for r in url_graph.judge(pages, rules).collect()]
+    assert sorted(got) == sorted(
+        [(k, "block") for k in range(6)] + [(9, "block")] * 2 + [(10 + k, "allow") for k in range(4)]
+    )
+
+
+@here
+def test_op9_has_edges_on_the_given_tables(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    hosts = url_graph.with_host(pages).filter("host <> ''").select("host").distinct()
+    assert not url_graph.kinship(hosts).isEmpty()
+
+
 @here
 def test_op9_has_no_python(spark):
     plan = QUERIES["op9_url_filters"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()

@@ -155,8 +155,12 @@ WITH p AS (
 ), hosts AS MATERIALIZED (
   SELECT host, count(*) AS pages, count(*) FILTER (v = 'allow') AS allowed, count(*) FILTER (v = 'block') AS blocked
   FROM ruled WHERE host <> '' GROUP BY 1
+), named AS (
+  SELECT string_split(host, '.') AS l FROM hosts
+  WHERE length(host) <= {url_graph.LONGEST_HOST} AND NOT regexp_matches(host, '{url_graph.NUMERIC}')
 ), kin AS (
-  SELECT c.host, p.host AS parent FROM hosts c JOIN hosts p ON regexp_extract(c.host, '^[^.]*[.](.+)$', 1) = p.host
+  SELECT DISTINCT array_to_string(l[i:], '.') AS host, array_to_string(l[i + 1:], '.') AS parent
+  FROM (SELECT l, unnest(range(1, len(l) - 1)) AS i FROM named)
 ), links AS (
   SELECT host AS source, translate(x, '{url_graph.CAPITALS}', '{url_graph.SMALL}') AS target FROM (
     SELECT host, unnest(regexp_extract_all(html, '{url_graph.LINK.replace("'", "''")}', 1)) AS x
@@ -179,8 +183,8 @@ scores AS (
          coalesce(sum(mass) FILTER (kind = 'distrust'), 0) AS distrust
   FROM r{url_graph.ROUNDS} GROUP BY 1
 ), fallen AS (
-  SELECT host FROM scores WHERE distrust > trust
-    AND distrust * greatest(1, (SELECT count(*) FROM hosts)) >= {url_graph.LEAST_DISTRUST}
+  SELECT host FROM scores WHERE round(distrust - trust, {url_graph.PLACES}) > 0
+    AND round(distrust * greatest(1, (SELECT count(*) FROM hosts)) - {url_graph.LEAST_DISTRUST}, {url_graph.PLACES}) >= 0
 )
 SELECT page_id, host, path, rule,
   coalesce(v, CASE WHEN host IN (SELECT host FROM fallen) THEN 'block' ELSE 'allow' END) AS verdict

@@ -19,6 +19,11 @@ DAMPING = 0.85
 ROUNDS = 8
 # A host falls when its distrust is over its trust and over this multiple of an even share.
 LEAST_DISTRUST = 0.5
+# Longer ones are no host names (RFC 1035) and have no ancestors.
+LONGEST_HOST = 253
+NUMERIC = r"(^|\.)[0-9]*(:[0-9]*)?$"
+# Scores are compared to this many places, so that equal ones stay equal whatever the order of their sums.
+PLACES = 12
 
 
 @dataclass(frozen=True)
@@ -62,10 +67,24 @@ def with_rule(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return pages.withColumns({"rule": text, "ruled": verdict})
 
 
+def kinship(hosts: DataFrame) -> DataFrame:
+    """``(host, parent)``: each host and each of its ancestors with the name above it, of two labels or more.
+
+    An ancestor is a node of the graph though no page is on it, so hosts of one domain are kin. Numeric addresses have none.
+    """
+    named = hosts.filter((F.length("host") <= LONGEST_HOST) & ~F.col("host").rlike(NUMERIC))
+    labels = named.select(F.split("host", r"\.").alias("l"))
+    deep = labels.filter(F.size("l") > 2).select("l", F.explode(F.expr("sequence(1, size(l) - 2)")).alias("i"))
+    from_label = "array_join(slice(l, {0}, size(l)), '.')"
+    return deep.select(
+        F.expr(from_label.format("i")).alias("host"), F.expr(from_label.format("i + 1")).alias("parent")
+    ).distinct()
+
+
 def host_edges(pages: DataFrame, hosts: DataFrame, html: str = "html") -> DataFrame:
     """``(source, target, weight)`` between hosts: counted links, and one either way between a host and its parent.
 
-    The parent is the host less its first label, where that is a host of pages too. Links are counted
+    The parent is the host less its first label, see ``kinship``. Links are counted
     per task before they are shuffled; links that stay on a host are none.
     """
     linked = pages.filter(F.col(html).contains("//") & (F.col("host") != "")).select(
@@ -73,11 +92,9 @@ def host_edges(pages: DataFrame, hosts: DataFrame, html: str = "html") -> DataFr
     )
     links = linked.select(F.col("host").alias("source"), F.translate("to", CAPITALS, SMALL).alias("target"))
     links = links.filter("source <> target").groupBy("source", "target").agg(F.count(F.lit(1)).alias("weight"))
-    child = hosts.select("host", F.regexp_extract("host", r"^[^.]*\.(.+)$", 1).alias("_parent"))
-    above = hosts.select(F.col("host").alias("_parent"))
-    kin = child.join(above, "_parent").select("host", "_parent", F.lit(1).cast("long").alias("weight"))
-    up = kin.select(F.col("host").alias("source"), F.col("_parent").alias("target"), "weight")
-    down = kin.select(F.col("_parent").alias("source"), F.col("host").alias("target"), "weight")
+    kin = kinship(hosts).withColumn("weight", F.lit(1).cast("long"))
+    up = kin.select(F.col("host").alias("source"), F.col("parent").alias("target"), "weight")
+    down = kin.select(F.col("parent").alias("source"), F.col("host").alias("target"), "weight")
     every = links.unionByName(up).unionByName(down)
     return every.groupBy("source", "target").agg(F.sum("weight").alias("weight"))
 
@@ -146,8 +163,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], page_id: str = "page_id", url
     edges = materialise(host_edges(ruled, hosts), "edges")
     scores = host_scores(hosts, edges)
     count = hosts.count()
+    share = F.col("distrust") * F.lit(float(max(1, count)))
     fallen = scores.filter(
-        (F.col("distrust") > F.col("trust")) & (F.col("distrust") * F.lit(float(max(1, count))) >= LEAST_DISTRUST)
+        (F.round(F.col("distrust") - F.col("trust"), PLACES) > 0) & (F.round(share - LEAST_DISTRUST, PLACES) >= 0)
     ).select(F.col("host").alias("_host"))
     fallen = materialise(fallen, "fallen")
     met = ruled.drop("url", "html").join(fallen, ruled["host"] == fallen["_host"], "left")
