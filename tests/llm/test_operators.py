@@ -663,7 +663,39 @@ def test_op10_whole(spark, texts):
         got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
         assert got == plain_measures(texts[r.doc_id])
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
-        assert not (r.base_failed and r.kept)
+        assert r.kept == (not r.base_failed and plain_within(texts[r.doc_id]))
+
+
+def plain_within(text):
+    """Ratios and bands once more, looked up plainly."""
+    import zstandard
+
+    raw, bands = text.encode(), compression.Bands()
+    shrunk = [len(zstandard.compress(raw[k : k + 4096], 3)) / 4096 for k in range(0, len(raw) - 4095, 4096)]
+    _, in_words, symbols, _, _ = plain_measures(text)
+    kind = "marked" if symbols / max(1, in_words) >= 0.1 else "wide" if len(raw) / len(text) >= 1.3 else "plain"
+    below, plain, wide, marked, most = min(row for row in bands.whole if len(raw) < row[0])
+    least = {"plain": plain, "wide": wide, "marked": marked}[kind]
+    chunk_least = {"plain": 0.24, "wide": 0.22, "marked": 0.436}[kind]
+    middle = sorted(shrunk)[len(shrunk) // 2] / 2 + sorted(shrunk)[(len(shrunk) - 1) // 2] / 2 if len(shrunk) > 1 else None
+    return least <= len(zstandard.compress(raw, 3)) / len(raw) <= most and (middle is None or chunk_least <= middle <= 0.7)
+
+
+LICENCES = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(LICENCES), reason="no licence texts here")
+def test_real_texts_pass_the_bands(spark):
+    rows = []
+    for name in sorted(os.listdir(LICENCES)):
+        with open(f"{LICENCES}/{name}", encoding="utf-8") as f:
+            rows.append((len(rows), f.read()))
+    got = compression.with_quality(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert all(r.kept or r.base_failed for r in got) and sum(r.kept for r in got) > len(rows) / 2
+    cells = " | ".join(f"word{k % 50}" for k in range(400))
+    filler = "and so on it goes " * 3 + " ".join(f"w{k}" for k in range(60)) + " x" * 3000
+    junk = spark.createDataFrame([(1, cells), (2, filler)], "doc_id bigint, text string")
+    assert not any(r.kept for r in compression.with_quality(junk).collect())
 
 
 def test_quality_of_awkward_rows(awkward, nothing):
@@ -675,7 +707,7 @@ def test_quality_of_awkward_rows(awkward, nothing):
     text = " ".join("".join(rng.choice(list(noise), 8)) for _ in range(200))
     press = compression.zstandard.ZstdCompressor(level=3)
     ratio, chunk = compression.ratios(text.encode(), 4096, press)
-    assert not compression.Bands().keeps(len(text), ratio, chunk)
+    assert not compression.Bands().keeps(len(text), len(text), len(text), 0, ratio, chunk)
 
 
 # pipeline
