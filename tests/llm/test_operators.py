@@ -372,6 +372,35 @@ def test_language_model_is_naive_bayes(spark):
     assert language.Model((), np.zeros(0), np.zeros((size, 0))).predict("abc") == ("und", 0.0)
 
 
+def test_language_scores_batches_like_single_texts(monkeypatch):
+    """Texts of a batch, cut in small slices and products, score as a sum over their own n-grams; counts are the matrix's."""
+    rng = np.random.default_rng(4)
+    size = 1 << language.BUCKET_BITS
+    model = language.Model(tuple("abc"), np.log([0.5, 0.3, 0.2]), rng.normal(-9, 1, (size, 3)).astype(np.float32))
+    words = ["straße", "ΟΔΟΣ", "İstanbul", "naïve", "x", "it's", "42", "—", "语言", "don't", "a" * 40]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 60))) for _ in range(80)] + [None, "", "12 !", "ab", "Σ", "Σ", " ΑΣ"]
+    monkeypatch.setattr(language, "BLOCK_CHARS", 97)
+    monkeypatch.setattr(language, "PRODUCT_CELLS", 30)
+    found, score = model.predict_all(texts)
+    for text, lang, value in zip(texts, found, score):
+        sums, n = model.prior.copy(), 0
+        for block in language.blocks(text or ""):
+            for bucket in language.buckets(block):
+                sums, n = sums + model.matrix[bucket].astype(float), n + 1
+        if n == 0:
+            assert (lang, value) == ("und", 0.0)
+            continue
+        assert lang == "abc"[int(np.argmax(sums))]
+        assert value == pytest.approx(1 / np.exp(sums - sums.max()).sum(), rel=1e-9)
+    strings = [t for t in texts if t]
+    row, bucket, n = language.count_matrix(strings)
+    for k, text in enumerate(strings):
+        want = Counter(language.buckets(text).tolist())
+        assert dict(zip(bucket[row == k].tolist(), n[row == k].tolist())) == dict(want)
+    # N-grams of one word with a blank at either end, by hand: 3 letters, 4 pairs, 3 triples.
+    assert len(language.buckets("..Abc!!")) == 10 and len(language.buckets("a b")) == 2 + 4 + 2
+
+
 def test_language_of_awkward_rows(awkward, nothing):
     rows = language.identify(awkward).collect()
     assert len(rows) == awkward.count()

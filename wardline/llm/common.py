@@ -13,7 +13,7 @@ from wardline.sources.tables import materialise
 # A word is a run of anything but the six ASCII space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 # Texts are worked on in blocks of about this many characters, so a task's memory stays bounded.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 17
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:

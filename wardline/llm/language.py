@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from wardline.llm.common import (
@@ -24,6 +26,8 @@ SMOOTHING = 0.1
 UNKNOWN = "und"
 # A model may have this many languages; the matrix that is broadcast has as many columns.
 MOST_LANGUAGES = 256
+# Numbers that a product of counts and log probabilities holds at once.
+PRODUCT_CELLS = 1 << 21
 _PRIMES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 
 
@@ -47,22 +51,39 @@ def blocks(text: str):
         at = stop
 
 
-def buckets(text: str) -> np.ndarray:
-    """Buckets of the n-grams of a block's words, lower-cased and with a blank at either end.
+def slices(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Texts, long ones in blocks, in slices of about ``BLOCK_CHARS``, each with the rows that its strings belong to."""
+    owners, strings, held = [], [], 0
+    for row, text in enumerate(texts):
+        for block in blocks((text.as_py() if isinstance(text, pa.Scalar) else text) or ""):
+            if strings and held + len(block) > BLOCK_CHARS:
+                yield np.array(owners), strings
+                owners, strings, held = [], [], 0
+            owners.append(row)
+            strings.append(block)
+            held += len(block)
+    if strings:
+        yield np.array(owners), strings
+
+
+def grams(strings: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, bucket)`` of the n-grams of all strings' words, lower-cased and with a blank at either end.
 
-    Runs of other characters are one blank; n-grams that reach into two words are left out, so a
-    text may be cut between words.
+    The strings are laid out in one array with a blank between. Runs of other characters are one blank; n-grams
+    that reach into two words are left out, so none reaches into two strings, and a text may be cut between words.
     """
-    code = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), dtype=np.uint32)
+    low = [s.lower() for s in strings]
+    # The blank before a string counts as the string's: n-grams that begin with it hold the string's first letter.
+    owner = np.repeat(np.arange(len(low)), np.fromiter((len(s) + 1 for s in low), dtype=np.int64, count=len(low)))
+    code = np.frombuffer(f" {' '.join(low)} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     letter = letters()[code]
     code = np.where(letter, code, np.uint32(32))
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     keep[:-1] |= letter[1:]
-    code, letter = code[keep], letter[keep]
-    if not letter.any():
-        return np.zeros(0, dtype=np.int64)
-    out = []
+    at = np.flatnonzero(keep)
+    code, letter = code[at], letter[at]
+    rows, found = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     mixed = np.zeros(len(code), dtype=np.uint32)
     for n in range(1, max(LENGTHS) + 1):
         if n > len(code):
@@ -75,9 +96,28 @@ def buckets(text: str) -> np.ndarray:
         whole = letter[:size] | letter[n - 1 :] if n < 3 else np.ones(size, dtype=bool)
         for k in range(1, n - 1):
             whole = whole & letter[k : k + size]
-        found = mixed[: len(whole)][whole] * np.uint32(_PRIMES[2])
-        out.append((found ^ (found >> np.uint32(15))) * np.uint32(_PRIMES[3]) >> np.uint32(32 - BUCKET_BITS))
-    return np.concatenate(out).astype(np.int64)
+        taken = np.flatnonzero(whole)
+        hashed = mixed[taken] * np.uint32(_PRIMES[2])
+        hashed = (hashed ^ (hashed >> np.uint32(15))) * np.uint32(_PRIMES[3]) >> np.uint32(32 - BUCKET_BITS)
+        rows.append(owner[at[taken]])
+        found.append(hashed.astype(np.int64))
+    return np.concatenate(rows), np.concatenate(found)
+
+
+def buckets(text: str) -> np.ndarray:
+    """Buckets of the n-grams of one block."""
+    return grams([text])[1]
+
+
+def count_matrix(strings: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sparse matrix of n-gram counts, as ``(row, bucket, count)`` of its cells in order of row and bucket."""
+    row, bucket = grams(strings)
+    cells = row << BUCKET_BITS | bucket
+    # Cells half as wide sort faster, and the rows of a slice fit: it has no empty strings.
+    cells = np.sort(cells.astype(np.uint32) if len(strings) <= 1 << 32 - BUCKET_BITS else cells)
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(cells)), dtype=bool), cells[1:] != cells[:-1]]))
+    held = cells[first].astype(np.int64)
+    return held >> BUCKET_BITS, held & (1 << BUCKET_BITS) - 1, np.diff(first, append=len(cells))
 
 
 @dataclass(frozen=True)
@@ -88,18 +128,33 @@ class Model:
     prior: np.ndarray
     matrix: np.ndarray
 
+    def predict_all(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
+        """Each text's likeliest language and its probability; ``und`` and 0 without a letter or a language.
+
+        A slice of texts is one sparse count matrix, which is multiplied by the log probabilities in pieces of at most
+        ``PRODUCT_CELLS`` numbers.
+        """
+        total, seen = np.tile(self.prior, (len(texts), 1)), np.zeros(len(texts), dtype=bool)
+        if not self.languages or not len(texts):
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        step = PRODUCT_CELLS // len(self.languages)
+        for owners, strings in slices(texts):
+            row, bucket, n = count_matrix(strings)
+            for k in range(0, len(row), step):
+                mine = row[k : k + step]
+                first = np.flatnonzero(np.diff(mine, prepend=-1))
+                product = self.matrix[bucket[k : k + step]] * n[k : k + step, None].astype(np.float64)
+                owner = owners[mine[first]]
+                np.add.at(total, owner, np.add.reduceat(product, first, axis=0))
+                seen[owner] = True
+        best = total.argmax(axis=1)
+        share = 1.0 / np.exp(total - total[np.arange(len(total)), best][:, None]).sum(axis=1)
+        return [self.languages[b] if s else UNKNOWN for b, s in zip(best, seen)], np.where(seen, share, 0.0)
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its probability; ``und`` and 0 without a letter or a language."""
-        total, seen = self.prior.copy(), False
-        for block in blocks(text or ""):
-            found = buckets(block)
-            if len(found):
-                seen = True
-                total += self.matrix[found].sum(axis=0, dtype=np.float64)
-        if not seen or not self.languages:
-            return UNKNOWN, 0.0
-        best = int(np.argmax(total))
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        """Language and probability of one text."""
+        found, score = self.predict_all([text])
+        return found[0], float(score[0])
 
 
 def counts(labelled: DataFrame) -> DataFrame:
@@ -112,13 +167,14 @@ def counts(labelled: DataFrame) -> DataFrame:
     def run(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+            for lang in pc.unique(batch.column("lang")).to_pylist():
                 row = sums.setdefault(lang, np.zeros((1 << BUCKET_BITS) + 1, dtype=np.int64))
                 if len(sums) > MOST_LANGUAGES:
                     raise ValueError(f"over {MOST_LANGUAGES} languages")
-                row[-1] += 1
-                for block in blocks(text.as_py()):
-                    row[:-1] += np.bincount(buckets(block), minlength=1 << BUCKET_BITS)
+                texts = batch.column("text").filter(pc.equal(batch.column("lang"), lang))
+                row[-1] += len(texts)
+                for _, strings in slices(texts):
+                    row[:-1] += np.bincount(grams(strings)[1], minlength=1 << BUCKET_BITS)
         for lang, row in sums.items():
             at = np.flatnonzero(row)
             where = np.where(at == len(row) - 1, -1, at).astype(np.int32)
@@ -165,15 +221,8 @@ def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     def run(batches):
         held = shared.value
         for batch in batches:
-            found = [held.predict(t.as_py()) for t in batch.column(text)]
-            yield append(
-                batch,
-                [text],
-                {
-                    "lang_pred": pa.array([f[0] for f in found], pa.string()),
-                    "score": pa.array([f[1] for f in found], pa.float64()),
-                },
-            )
+            found, score = held.predict_all(batch.column(text))
+            yield append(batch, [text], {"lang_pred": pa.array(found, pa.string()), "score": pa.array(score, pa.float64())})
 
     kept = docs.drop("lang_pred", "score")
     schema = ", ".join(x for x in (fields(kept, [text]), "lang_pred string, score double") if x)
@@ -206,7 +255,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, doc_id: str = "doc_id",
     def run(batches):
         held = shared.value
         for batch in batches:
-            found = [held.predict(t.as_py()) for t in batch.column(text)]
-            yield batch.filter(pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_()))
+            found, score = held.predict_all(batch.column(text))
+            yield batch.filter(pa.array((np.array(found, dtype=object) != UNKNOWN) & (score >= least)))
 
     return arrow_map(docs, run, fields(docs))
