@@ -295,6 +295,31 @@ def test_long_texts_in_blocks_and_full_memories(monkeypatch):
         assert [got[k] for k in range(5)] == [raw.encode(t or "", add_special_tokens=False).ids for t in rows.to_pylist()]
 
 
+def test_texts_of_other_tokenizers_are_not_cut(tmp_path):
+    """The dealt files are of the two known kinds; the same files changed in one setting are not, and give the library's ids."""
+    import json
+
+    dealt = {name: json.load(open(tokenizer_path(name))) for name in ("byte_bpe_50k.json", "word_bpe_49k.json")}
+    assert encoding.Counter(tokenizer_path("byte_bpe_50k.json")).parts.cut
+    assert encoding.Encoder(tokenizer_path("word_bpe_49k.json")).parts.cut
+    prefixed = dealt["byte_bpe_50k.json"] | {"pre_tokenizer": dealt["byte_bpe_50k.json"]["pre_tokenizer"] | {"add_prefix_space": True}}
+    cased = dealt["word_bpe_49k.json"] | {"normalizer": None}
+    token = dealt["word_bpe_49k.json"]["added_tokens"][0] | {"id": 49408, "content": "new york", "special": False}
+    spaced = dealt["word_bpe_49k.json"] | {"added_tokens": [*dealt["word_bpe_49k.json"]["added_tokens"], token]}
+    rows = ["Hello new york World", None, "", "it's  \n x<|endoftext|>y new york", "É" * 50]
+    for name, changed in (("prefixed", prefixed), ("cased", cased), ("spaced", spaced)):
+        path = str(tmp_path / f"{name}.json")
+        with open(path, "w") as f:
+            json.dump(changed, f)
+        want = [encoding.tokenizer(path).encode(t or "", add_special_tokens=False).ids for t in rows]
+        count, code = encoding.Counter(path), encoding.Encoder(path)
+        assert not count.parts.cut and not code.parts.cut
+        assert count.count(pa.array(rows)).tolist() == [len(w) for w in want]
+        assert [i for _, _, ids in code.encode(pa.array(rows)) for i in ids.tolist()] == sum(want, [])
+        assert [n for _, length, _ in code.encode(pa.array(rows)) for n in length.tolist()] == [len(w) for w in want]
+    assert list(code.encode(pa.array([], pa.string()))) == []
+
+
 def plain_rows(rows):
     raw, start, out = library("word_bpe_49k.json"), 0, []
     for d, t in rows:

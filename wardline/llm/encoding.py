@@ -2,11 +2,13 @@
 
 Both kinds of tokenizer end a match between a visible character and white space, and at a letter run's
 end before a mark, whatever stands around. So a text is cut there, and the pieces' tokens put
-together are the text's. Where cutting is not proven safe, the text goes to the library whole.
+together are the text's. Where cutting is not proven safe, the text goes to the library whole; so does every text
+of a tokenizer that is not of one of the two kinds (``WORD_KIND``, ``BYTE_KIND``) for which it is.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -16,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from wardline.llm.arrow_words import Growing, Vocabulary, slices, split_words, spread, sums
+from wardline.llm.arrow_words import DOUBTFUL, Growing, Vocabulary, slices, split_words, spread, sums
 
 # Strings a task remembers before it starts afresh, and characters of a batch for the library.
 KNOWN_PARTS = 500_000
@@ -29,6 +31,58 @@ UNSAFE_END = "[\\x01\\x02\\t-\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2
 BLANK = "\u0120"
 # Line ends, as one character each, that a word may begin with.
 BREAKS = (("\n\n", "\x02"), ("\n", "\x01"))
+# Normalizer, pre-tokenizer and model options of the two kinds of tokenizer that texts may be cut for.
+WORD_KIND = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "model": ("BPE", None, None, None, "</w>", False, False),
+}
+BYTE_KIND = {
+    "normalizer": None,
+    "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+    "model": ("BPE", None, None, None, None, False, False),
+}
+
+
+def kind(library) -> dict:
+    """Normalizer, pre-tokenizer and model options of a tokenizer, as its file states them."""
+    state = lambda part: part and json.loads(part.__getstate__())
+    model = library.model
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback")
+    return {
+        "normalizer": state(library.normalizer),
+        "pre_tokenizer": state(library.pre_tokenizer),
+        "model": (type(model).__name__, *[getattr(model, o, None) or (False if o in options[4:] else None) for o in options]),
+    }
+
+
+def may_cut(library, wanted: dict) -> bool:
+    """Whether texts may be cut: the tokenizer is of the wanted kind, and its added tokens begin with a mark and hold no white space."""
+    added = library.get_added_tokens_decoder().values()
+    return kind(library) == wanted and all(
+        not t.content[:1].isalnum()
+        and not any(c.isspace() or c in DOUBTFUL for c in t.content)
+        and not (t.lstrip or t.rstrip or t.single_word or t.normalized)
+        for t in added
+    )
 
 
 @lru_cache(maxsize=4)
@@ -48,6 +102,7 @@ class Parts:
     def __init__(self, path: str, spaced: bool):
         self.library = tokenizer(path)
         self.spaced = spaced
+        self.cut = may_cut(self.library, BYTE_KIND if spaced else WORD_KIND)
         self._known = Vocabulary(self._learn, self._forget, KNOWN_PARTS)
         self._forget()
 
@@ -57,6 +112,17 @@ class Parts:
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def whole_batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, list[list[int]]]]:
+        """Rows and their ids, each text encoded by itself, in batches of about equal length; nulls are empty."""
+        held, rows, size = [], [], 0
+        for row, text in enumerate(texts):
+            held.append(text.as_py() or "")
+            rows.append(row)
+            size += len(held[-1])
+            if size >= BATCH_CHARS or row == len(texts) - 1:
+                yield np.array(rows), [e.ids for e in self.library.encode_batch_fast(held, add_special_tokens=False)]
+                held, rows, size = [], [], 0
+
     def _encode(self, strings: list[str]) -> list[list[int]]:
         """Ids of strings. ASCII letters, perhaps after a blank, are one match; the library's model codes them at once."""
         out: list = [None] * len(strings)
@@ -131,6 +197,11 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """``(rows, number of ids, ids one row after another)``; a long text comes in several parts, in order."""
+        if not self.parts.cut:
+            for rows, found in self.parts.whole_batches(texts):
+                length = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+                yield rows, length, np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(length.sum()))
+            return
         for part in slices(texts):
             words, at = split_words(pc.replace_substring(part.texts, "\n", " "))
             number = self.words.numbers(words)
@@ -175,6 +246,10 @@ class Counter:
     def count(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text."""
         total = np.zeros(len(texts), dtype=np.int64)
+        if not self.parts.cut:
+            for rows, found in self.parts.whole_batches(texts):
+                total[rows] = [len(f) for f in found]
+            return total
         for part in slices(texts):
             signed = part.texts
             odd = pc.match_substring_regex(signed, "[\x01\x02]").to_numpy(zero_copy_only=False)
