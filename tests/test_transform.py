@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardline.functions import recode
-from wardline.functions.scalars import half_even
+from wardline.functions.scalars import half_even, significant
 from wardline.operators import reshape, sample, transform
 from wardline.plans import fixed_values as fixed
 
@@ -139,3 +139,29 @@ def test_routed_rows_equal_filtered_sources(frame, rows):
     ])
     assert rows(got, "id", "x", "y") == rows(want, "id", "x", "y")
     assert got._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
+def there_and_back(frame, values, drift):
+    """Values after the way there and back, with a scale whose last bits differ on the way back."""
+    from registry.reshaping import CONTINUOUS, TRANSFORMS
+
+    df = frame([(i, n, v) for i, (n, v) in enumerate(values)], "i int, variable string, value double")
+    up = transform.transformed(df, TRANSFORMS)
+    scale = frame([(v, 2.345678901 + k / 7, 0.987654321 / (k + 3)) for k, v in enumerate(CONTINUOUS)], "variable string, mean double, sd double")
+    summed_anew = scale.withColumn("mean", F.col("mean") * F.lit(1 + drift))
+    back = transform.restored(transform.standardised(up, scale), summed_anew, TRANSFORMS)
+    return [r.value for r in back.orderBy("i").collect()]
+
+
+@pytest.mark.parametrize("drift", [0.0, 4e-15, -4e-15])
+def test_measured_values_come_back_exactly(frame, drift):
+    """A value on a rule's limit stays on it, whatever the order in which means were summed."""
+    values = [("ph", v) for v in (7.25, 7.3, 7.35)] + [("resp_rate", v) for v in (30.0, 35.0, 40.0, 44.496)]
+    values += [("heart_rate", v) for v in (86.5, 120.0)] + [("po2", 114.0), ("pco2", 57.484)]
+    assert there_and_back(frame, values, drift) == [v for _, v in values]
+
+
+def test_significant(frame):
+    given = [0.0, 7.299999999999995, -86.49999999999987, 1.234e-9, 1e300, 5e-324, float("inf"), None]
+    got = frame([(i, v) for i, v in enumerate(given)], "i int, x double").select("i", significant(F.col("x")).alias("y"))
+    assert [r.y for r in got.orderBy("i").collect()] == [0.0, 7.3, -86.5, 1.234e-9, 1e300, 5e-324, float("inf"), None]
