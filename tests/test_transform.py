@@ -165,3 +165,10 @@ def test_significant(frame):
     given = [0.0, 7.299999999999995, -86.49999999999987, 1.234e-9, 1e300, 5e-324, float("inf"), None]
     got = frame([(i, v) for i, v in enumerate(given)], "i int, x double").select("i", significant(F.col("x")).alias("y"))
     assert [r.y for r in got.orderBy("i").collect()] == [0.0, 7.3, -86.5, 1.234e-9, 1e300, 5e-324, float("inf"), None]
+
+
+@pytest.mark.parametrize("drift", [0.0, 4e-15, -4e-15])
+def test_measured_ties_are_rounded_half_even(frame, drift):
+    values = [("GCS", v + 0.5) for v in range(3, 15)] + [("spo2", v + 0.5) for v in range(60, 100)]
+    values += [("fio2", v + 0.5) for v in range(21, 100)]
+    assert there_and_back(frame, values, drift) == [float(round(v)) for _, v in values]
