@@ -168,7 +168,6 @@ OUTCOME_COLUMNS = (
 def carry_and_evaluate(spark, folder):
     """Transform, standardise, carry forward, restore, and evaluate every rule."""
     z, scale = standard(spark, folder)
-    scale = materialise(scale, "scale")
     shifted = z.withColumn("time", F.col("time") - 7 * DAY)
     carried = transform.carried_dataset(
         shifted, scale, TRANSFORMS, "user_id", "time", VITALS, FILLED, ["pressor"], DAY, 60

@@ -172,3 +172,12 @@ def test_measured_ties_are_rounded_half_even(frame, drift):
     values = [("GCS", v + 0.5) for v in range(3, 15)] + [("spo2", v + 0.5) for v in range(60, 100)]
     values += [("fio2", v + 0.5) for v in range(21, 100)]
     assert there_and_back(frame, values, drift) == [float(round(v)) for _, v in values]
+
+
+def test_scale_is_summed_once(spark):
+    """The way there and the way back read one written scale."""
+    from registry.reshaping import standard
+
+    scale = standard(spark, "/root/testdata/sf0.001")[1]
+    assert "Aggregate" not in scale._jdf.queryExecution().optimizedPlan().toString()
+    assert scale.count() == 8
